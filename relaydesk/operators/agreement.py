@@ -8,6 +8,7 @@ with one total per range, so no task sees all of them.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +23,16 @@ def discretise(score: Column) -> Column:
 
 
 def pair_counts(df: DataFrame, a: Column, b: Column) -> DataFrame:
-    """(a, b, n): distinct pairs with their number; pairs with a missing side are left out."""
-    both = df.select(a.alias("a"), b.alias("b")).where("a is not null and b is not null")
-    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    """(a, b, n): distinct pairs with their number; pairs with a missing side are left out.
+
+    Missing values are left out by their count and the keys are made
+    non-null. A null filter, written here or inferred from a later join, would
+    be pushed below the aggregation, where it computes the scores once more.
+    """
+    sides = df.select(a.alias("a"), b.alias("b"))
+    keys = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("a", "b")]
+    counted = sides.groupBy(*keys).agg(F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("n"))
+    return counted.where(F.col("n") > 0)
 
 
 def running_ranks(values: DataFrame) -> DataFrame:
@@ -39,7 +47,7 @@ def running_ranks(values: DataFrame) -> DataFrame:
     # as many cuts lie below v as ranges come before its own
     cut = (
         values.withColumn("cuts", cuts)
-        .withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
+        .withColumn("range", F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("v"))), F.lit(0)))
         .drop("cuts")
     )
     totals = cut.groupBy("range").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("kinds"))
@@ -63,15 +71,13 @@ def running_ranks(values: DataFrame) -> DataFrame:
     )
 
 
-def weighted_kappa(df: DataFrame, a: Column, b: Column) -> DataFrame:
-    """One row (kappa): quadratic weights on the position of a label among all labels seen.
+def _total(pairs: DataFrame, value: Column) -> Column:
+    """Sum over all rows behind the pairs, as a scalar."""
+    return pairs.agg(F.sum(value)).scalar()
 
-    Sum of w * observed over sum of w * expected with w = (i - j)^2 needs only
-    the sums of i, j, their squares and their product. Null if neither varies.
-    """
-    pairs = pair_counts(df, a, b)
-    sides = F.explode(F.array("a", "b")).alias("v")
-    labels = pairs.select("n", sides).groupBy("v").agg(F.sum("n").alias("n"))
+
+def _kappa(pairs: DataFrame) -> DataFrame:
+    labels = pairs.select("n", F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.sum("n").alias("n"))
     place = running_ranks(labels).select("v", F.col("position").cast("double").alias("p"))
     at = pairs.join(place.withColumnRenamed("p", "i"), F.col("a") == F.col("v")).drop("v")
     at = at.join(place.withColumnRenamed("p", "j"), F.col("b") == F.col("v")).drop("v")
@@ -88,35 +94,62 @@ def weighted_kappa(df: DataFrame, a: Column, b: Column) -> DataFrame:
     return sums.select((1 - F.try_divide(F.col("observed"), expected)).alias("kappa"))
 
 
-def pearson(df: DataFrame, a: Column, b: Column) -> DataFrame:
-    """One row (r): null unless both sides vary."""
-    both = df.select(a.cast("double").alias("a"), b.cast("double").alias("b")).where("a is not null and b is not null")
-    return both.agg(F.when((F.stddev_pop("a") > 0) & (F.stddev_pop("b") > 0), F.corr("a", "b")).alias("r"))
+def _correlation(pairs: DataFrame, x: Column, y: Column, name: str) -> DataFrame:
+    """Correlation of two centred columns of a pair table."""
+    sums = pairs.select((F.col("n") * x * y).alias("xy"), (F.col("n") * x * x).alias("xx"), (F.col("n") * y * y).alias("yy"))
+    sums = sums.agg(F.sum("xy").alias("xy"), F.sum("xx").alias("xx"), F.sum("yy").alias("yy"))
+    return sums.select(F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias(name))
 
 
-def spearman(df: DataFrame, a: Column, b: Column) -> DataFrame:
-    """One row (rho): correlation of mean ranks, centred on their known mean (n + 1) / 2."""
-    pairs = pair_counts(df, a, b)
+def _pearson(pairs: DataFrame) -> DataFrame:
+    rows = _total(pairs, F.col("n"))
+    centred = pairs.select(
+        "n",
+        (F.col("a") - F.try_divide(_total(pairs, F.col("n") * F.col("a")), rows)).alias("x"),
+        (F.col("b") - F.try_divide(_total(pairs, F.col("n") * F.col("b")), rows)).alias("y"),
+    )
+    return _correlation(centred, F.col("x"), F.col("y"), "r")
 
+
+def _spearman(pairs: DataFrame) -> DataFrame:
     def ranks(side: str) -> DataFrame:
         counts = pairs.groupBy(F.col(side).alias("v")).agg(F.sum("n").alias("n"))
         return running_ranks(counts).select(F.col("v").alias(side), F.col("mean_rank").alias(f"rank_{side}"))
 
+    middle = (_total(pairs, F.col("n")) + 1) / 2
     ranked = pairs.join(ranks("a"), "a").join(ranks("b"), "b")
-    middle = (pairs.agg(F.sum("n")).scalar() + 1) / 2
-    x, y, n = F.col("rank_a") - middle, F.col("rank_b") - middle, F.col("n")
-    sums = ranked.select((n * x * y).alias("xy"), (n * x * x).alias("xx"), (n * y * y).alias("yy")).agg(
-        F.sum("xy").alias("xy"), F.sum("xx").alias("xx"), F.sum("yy").alias("yy")
-    )
-    return sums.select(F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("rho"))
+    centred = ranked.select("n", (F.col("rank_a") - middle).alias("x"), (F.col("rank_b") - middle).alias("y"))
+    return _correlation(centred, F.col("x"), F.col("y"), "rho")
+
+
+def weighted_kappa(df: DataFrame, a: Column, b: Column) -> DataFrame:
+    """One row (kappa): quadratic weights on the position of a label among all labels seen.
+
+    Sum of w * observed over sum of w * expected with w = (i - j)^2 needs only
+    the sums of i, j, their squares and their product. Null if neither varies.
+    """
+    return _kappa(pair_counts(df, a, b))
+
+
+def pearson(df: DataFrame, a: Column, b: Column) -> DataFrame:
+    """One row (r): null unless both sides vary."""
+    return _pearson(pair_counts(df, a.cast("double"), b.cast("double")))
+
+
+def spearman(df: DataFrame, a: Column, b: Column) -> DataFrame:
+    """One row (rho): correlation of mean ranks, centred on their known mean (n + 1) / 2."""
+    return _spearman(pair_counts(df, a, b))
 
 
 def agreement(df: DataFrame, human: Column, judge: Column) -> DataFrame:
-    """One row with every agreement statistic; no row for an empty input."""
-    h, j = human.cast("double"), judge.cast("double")
-    pairs = pair_counts(df, h, j)
+    """One row with every agreement statistic; no row for an empty input.
+
+    All statistics start from one pair table, which is kept: it stands behind a pass over all texts.
+    """
+    pairs = pair_counts(df, human.cast("double"), judge.cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     a, b, n = F.col("a"), F.col("b"), F.col("n")
     whole_a, whole_b = discretise(a), discretise(b)
+    whole = pairs.groupBy(whole_a.alias("a"), whole_b.alias("b")).agg(F.sum("n").alias("n"))
     size = F.sum(n)
     basic = pairs.agg(
         size.alias("sample_size"),
@@ -129,9 +162,9 @@ def agreement(df: DataFrame, human: Column, judge: Column) -> DataFrame:
         F.try_divide(F.sum(n * b), size).alias("judge_mean_score"),
     ).where(F.col("sample_size") > 0)
     return (
-        basic.withColumn("quadratic_weighted_kappa", weighted_kappa(df, discretise(h), discretise(j)).scalar())
-        .withColumn("pearson_correlation", pearson(df, h, j).scalar())
-        .withColumn("spearman_correlation", spearman(df, h, j).scalar())
+        basic.withColumn("quadratic_weighted_kappa", _kappa(whole).scalar())
+        .withColumn("pearson_correlation", _pearson(pairs).scalar())
+        .withColumn("spearman_correlation", _spearman(pairs).scalar())
         .withColumn("pearson_p_value", correlation_p_value("pearson_correlation", "sample_size"))
         .withColumn("spearman_p_value", correlation_p_value("spearman_correlation", "sample_size"))
     )

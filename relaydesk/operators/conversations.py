@@ -153,11 +153,11 @@ def mine_replies(
         conv,
         clean(F.col("inquiry"), strip_urls=False).alias("customer_inquiry"),
         clean(F.col("resolution"), strip_urls=False).alias("support_resolution"),
-    ).where(
-        (F.col("customer_inquiry") != "")
-        & (F.col("support_resolution") != "")
-        & (F.length("customer_inquiry") >= min_chars)
-        & (F.length("support_resolution") >= min_chars)
+    )
+    # a length of at least 1 also leaves out empty texts
+    shortest = max(min_chars, 1)
+    cleaned = cleaned.where(
+        (F.length("customer_inquiry") >= shortest) & (F.length("support_resolution") >= shortest)
     )
     unique = keep_first(cleaned, "customer_inquiry", conv)
     return unique if limit is None else unique.orderBy(conv).limit(limit)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relaydesk.operators.rules import softmax
+from relaydesk.sources.tables import gather
 from relaydesk.operators.tfidf import TfidfModel, double_array
 
 MAX_FEATURES = 2500
@@ -61,8 +62,7 @@ class IntentModel:
             elasticNetParam=0.0,
             regParam=1.0 / (c * rows),
             maxIter=1000,
-            tol=1e-8,
-        ).fit(train)
+        ).fit(gather(train, known))
         matrix = fitted.coefficientMatrix.toArray()
         return cls(tfidf, classes, tuple(map(tuple, matrix.tolist())), tuple(fitted.interceptVector.toArray().tolist()))
 

@@ -93,7 +93,9 @@ def add_exemplars(
         hits = with_vec.withColumn("_hits", score(F.col("_vec.idx"), F.col("_vec.w"), own_id))
         pairs = F.arrays_zip(F.col("_hits.kb_id").alias("kb_id"), F.col("_hits.score").alias("score"))
         return hits.withColumn(out, pairs.cast("array<struct<kb_id:bigint,score:double>>")).drop("_vec", "_hits")
-    return _joined(with_vec.withColumn("_own", own_id), index, k, out).drop("_vec", "_own")
+    # equal messages are one question; the digest stands for the text
+    asked = with_vec.withColumn("_ask", F.unhex(F.sha2(F.concat_ws("\u0001", text, own_id), 256)))
+    return _joined(asked.withColumn("_own", own_id), index, k, out).drop("_vec", "_own", "_ask")
 
 
 # ---------------------------------------------------------------- small table: score in place
@@ -118,7 +120,8 @@ def _scorer(index: ReplyIndex, k: int):
             found = [_best(i, x, o, kb_ids, start, place, weight, k) for i, x, o in zip(idx, w, own)]
             yield pd.DataFrame({"kb_id": [f[0] for f in found], "score": [f[1] for f in found]})
 
-    return score
+    # keeps the optimizer from moving the call into a generator, where Python cannot run, or from repeating it
+    return score.asNondeterministic()
 
 
 def _best(idx, w, own, kb_ids, start, place, weight, k: int) -> tuple[list, list]:
@@ -161,27 +164,35 @@ def _term_bounds(vectors: DataFrame, terms: int, k: int) -> tuple[Column, Column
     return double_array(top), double_array(kth)
 
 
-def _essential(vec: Column, top: Column, kth: Column) -> Column:
-    """Terms that a reply must share to reach the top k.
+def _split_terms(vec: Column, top: Column, kth: Column) -> Column:
+    """Struct (rest, need): terms a reply must share to reach the top k, and what all others add at most.
 
     Some k replies score at least floor = max(weight * kth). Terms are taken
     in order of what they can add at most, smallest first, as long as all of
     them together stay below the floor; a reply that shares only those cannot
-    be in the top k. All other terms are returned.
+    be in the top k. All other terms are needed.
     """
     weighted = F.arrays_zip(vec["w"].alias("w"), vec["idx"].alias("t"))
-    parts = F.transform(weighted, lambda x: F.struct((x["w"] * F.get(top, x["t"])).alias("most"), x["t"].alias("t")))
+    parts = F.transform(
+        weighted,
+        lambda x: F.struct((x["w"] * F.get(top, x["t"])).alias("most"), x["t"].alias("term"), x["w"].alias("weight")),
+    )
     floor = F.array_max(F.transform(weighted, lambda x: x["w"] * F.get(kth, x["t"])))
     return bind(
         F.struct(F.sort_array(parts).alias("p"), (floor - F.lit(_MARGIN)).alias("floor")),
         lambda b: F.aggregate(
             b["p"],
-            F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("skipped")),
+            F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("rest"), F.lit(0).alias("skipped")),
             lambda acc, x: F.struct(
                 (acc["sum"] + x["most"]).alias("sum"),
+                F.when(acc["sum"] + x["most"] < b["floor"], acc["sum"] + x["most"])
+                .otherwise(acc["rest"])
+                .alias("rest"),
                 (acc["skipped"] + (acc["sum"] + x["most"] < b["floor"]).cast("int")).alias("skipped"),
             ),
-            lambda acc: F.transform(F.slice(b["p"], acc["skipped"] + 1, F.size(b["p"])), lambda x: x["t"]),
+            lambda acc: F.struct(
+                acc["rest"].alias("rest"), F.slice(b["p"], acc["skipped"] + 1, F.size(b["p"])).alias("need")
+            ),
         ),
     )
 
@@ -200,26 +211,41 @@ def _dot(left: Column, right: Column) -> Column:
 def _joined(messages: DataFrame, index: ReplyIndex, k: int, out: str) -> DataFrame:
     vectors = index.vectors.select("kb_id", "vec")
     top, kth = _term_bounds(vectors, len(index.model.terms), k)
-    # equal messages meet here once, however many copies there are
-    distinct = messages.where(F.size("_vec.idx") > 0).select("_vec", "_own").distinct()
-    asked = distinct.withColumn("_need", _essential(F.col("_vec"), top, kth)).withColumn("term", F.explode("_need"))
-    posting = vectors.select("kb_id", "vec", F.explode("vec.idx").alias("term"))
-    pairs = asked.join(posting, "term").where(F.col("_own").isNull() | (F.col("kb_id") != F.col("_own")))
-    # a pair meets once per shared term; it is scored at the first of them only
-    first_shared = F.array_min(F.array_intersect(F.col("_need"), F.col("vec.idx")))
-    scored = pairs.where(F.col("term") == first_shared).select(
-        "_vec", "_own", "kb_id", _dot(F.col("_vec"), F.col("vec")).alias("score")
+    asked = messages.select("_ask", "_own", "_vec").dropDuplicates(["_ask"])
+    split = asked.select("_ask", "_own", _split_terms(F.col("_vec"), top, kth).alias("_s"))
+    # inline of an expression, not of a column: for a column a filter would be inferred and the vectors made again
+    needed = split.select("_ask", "_own", "_s.rest", F.inline(F.transform("_s.need", lambda x: x)))
+    posting = vectors.select(
+        "kb_id", F.inline(F.arrays_zip(F.col("vec.idx").alias("term"), F.col("vec.w").alias("kb_weight")))
     )
-    by_score = Window.partitionBy("_vec", "_own").orderBy(F.desc(F.round("score", _PLACES)), "kb_id")
+    met = (
+        needed.join(posting, "term")
+        .where(F.col("_own").isNull() | (F.col("kb_id") != F.col("_own")))
+        .groupBy("_ask", "rest", "kb_id")
+        .agg(F.sum(F.col("weight") * F.col("kb_weight")).alias("part"))
+    )
+    # k replies reach at least the k-th part score; what cannot reach it with the skipped terms is out
+    by_part = Window.partitionBy("_ask").orderBy(F.desc("part"))
+    floor = (
+        met.withColumn("r", F.row_number().over(by_part))
+        .where(F.col("r") <= k)
+        .groupBy("_ask")
+        .agg(F.when(F.count(F.lit(1)) == k, F.min("part")).otherwise(F.lit(0.0)).alias("floor"))
+    )
+    close = met.join(floor, "_ask").where(F.col("part") + F.col("rest") >= F.col("floor") - _MARGIN)
+    scored = (
+        close.select("_ask", "kb_id")
+        .join(vectors, "kb_id")
+        .join(asked.select("_ask", "_vec"), "_ask")
+        .select("_ask", "kb_id", _dot(F.col("_vec"), F.col("vec")).alias("score"))
+    )
+    by_score = Window.partitionBy("_ask").orderBy(F.desc(F.round("score", _PLACES)), "kb_id")
     best = (
         scored.withColumn("r", F.row_number().over(by_score))
         .where(F.col("r") <= k)
-        .groupBy("_vec", "_own")
-        .agg(F.sort_array(F.collect_list(F.struct("r", "kb_id", "score"))).alias("_best"))
+        .groupBy("_ask")
+        .agg(F.sort_array(F.collect_list(F.struct("r", "kb_id", "score"))).alias("_best"))  # k entries
     )
-    same = F.col("m._vec").eqNullSafe(F.col("b._vec")) & F.col("m._own").eqNullSafe(F.col("b._own"))
-    back = messages.alias("m").join(best.alias("b"), same, "left")
-    found = F.transform(F.col("b._best"), lambda x: F.struct(x["kb_id"].alias("kb_id"), x["score"].alias("score")))
+    found = F.transform(F.col("_best"), lambda x: F.struct(x["kb_id"].alias("kb_id"), x["score"].alias("score")))
     empty = F.array().cast("array<struct<kb_id:bigint,score:double>>")
-    return back.select("m.*", F.coalesce(found, empty).alias(out))
-
+    return messages.join(best, "_ask", "left").withColumn(out, F.coalesce(found, empty)).drop("_best")

@@ -104,7 +104,8 @@ def best_label(probabilities: Column, labels: Sequence[str]) -> Column:
     """Most probable label; on a tie the one listed first."""
     names = F.array(*[F.lit(name) for name in labels])
     position = F.array_position(probabilities, F.array_max(probabilities))
-    return F.get(names, (position - 1).cast("int"))
+    # never null, and said so: a null filter inferred from a later join would repeat the scoring
+    return F.coalesce(F.get(names, (position - 1).cast("int")), F.lit(labels[0]))
 
 
 # ---------------------------------------------------------------- escalation

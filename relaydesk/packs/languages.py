@@ -17,14 +17,14 @@ LEXICONS = {
     "de": ("der", "die", "und", "den", "von", "zu", "das", "mit", "sich", "ist"),
     "es": ("el", "y", "los", "se", "del", "las", "por", "con", "su", "una"),
 }
-MAIL = r"[a-z0-9._]+@[a-z0-9.]+\.[a-z]+"
+MAIL = r"[a-z0-9_]\.example\.com"
 ADDRESS = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
 SECRET = r'(?:token|secret|password|api_key) = "'
 PHONE = r"\+?[0-9]{1,3}[ -]\(?[0-9]{3}\)?[ -][0-9]{3}[ -][0-9]{4}"
 LICENSE = r"licensed under"
 RELEASED = r"released under"
-SHOUTING = r"!!! *!!!|\?\?\?"
-NUMBERED = r"version [0-9]"
+SHOUTING = r"!! .*!!"
+REFUSAL = r"\b(?:nicht|avec)\b"
 
 LANGUAGES = Pack(
     labels=LABELS,
@@ -34,7 +34,7 @@ LANGUAGES = Pack(
     tiers=(
         Tier("acute_safety", 0.98, (Rule(SECRET, "A secret is written out in the text."),)),
         Tier("security_fraud", 0.95, (
-            Rule(MAIL, "A mail address is written out in the text."),
+            Rule(MAIL, "A mail host is written out in the text."),
             Rule(PHONE, "A phone number is written out in the text."),
         )),
         Tier("hardware_failure", 0.93, (Rule(ADDRESS, "A network address is written out in the text."),)),
@@ -42,7 +42,10 @@ LANGUAGES = Pack(
             Rule(LICENSE, "The text names the license it is under."),
             Rule(RELEASED, "The text names the license it was released under."),
         )),
-        Tier("customer_frustration", 0.88, (Rule(SHOUTING, "The text shouts."),)),
+        Tier("customer_frustration", 0.88, (
+            Rule(SHOUTING, "The text shouts."),
+            Rule(REFUSAL, "The text holds a word on the watch list."),
+        )),
     ),
     intent_default=IntentDefault(
         intent="es",

@@ -43,20 +43,32 @@ def read_table(spark: SparkSession, folder: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of a table."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a small table that sits in few file splits one partition per core.
 
     Row-local text work on one split would leave the other cores idle. A table
     above SMALL_INPUT_BYTES has splits enough and is left alone: no shuffle.
     """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = spark.sparkContext.defaultParallelism
-    if size > SMALL_INPUT_BYTES or cores == 1:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if cores == 1 or plan_bytes(df) > SMALL_INPUT_BYTES:
         return df
     return df.repartition(cores)
 
 
+def gather(df: DataFrame, like: DataFrame, partition_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """Few partitions for a small table that is read over and over, as iterative fitting does.
+
+    ``like`` is the input by whose size the number is chosen; large tables stay as they are.
+    """
+    size = plan_bytes(like)
+    return df if size > SMALL_INPUT_BYTES else df.repartition(size // partition_bytes + 1)
+
+
 def read_threads(spark: SparkSession, path: str, company: str | None = None) -> DataFrame:
     """Corpus of whole threads; the company filter reaches the parquet scan."""
     df = spark.read.schema(THREADS).parquet(path)
