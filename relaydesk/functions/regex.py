@@ -7,17 +7,29 @@
 
 from __future__ import annotations
 
+import re
+
 WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
 SPACE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 NOT_SPACE = r"[^\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
+BEFORE = f"(?<!{WORD})"
+AFTER = f"(?!{WORD})"
+
 _SPELLED_OUT = {r"\w": WORD, r"\b": EDGE, r"\s": SPACE, r"\S": NOT_SPACE}
 
 
 def portable(pattern: str) -> str:
-    """Spell out the shorthands; ``.`` stops at line feeds only."""
+    """Spell out the shorthands; ``.`` stops at line feeds only.
+
+    Next to a plain letter or digit a boundary needs to look at one side only,
+    which halves the time of a search.
+    """
+    pattern = re.sub(r"\\b(\(\?:[a-z0-9|]+\))\\b", lambda m: BEFORE + m[1] + AFTER, pattern)
+    pattern = re.sub(r"\\b(?=[A-Za-z0-9])", lambda m: BEFORE, pattern)
+    pattern = re.sub(r"(?<!\\)([A-Za-z0-9])\\b", lambda m: m[1] + AFTER, pattern)
     for short, long in _SPELLED_OUT.items():
         pattern = pattern.replace(short, long)
     return "(?d)" + pattern

@@ -122,11 +122,15 @@ def speaker_runs(
     )
 
 
-def first_messages(runs: DataFrame, conv: str, customer: str, support: str) -> DataFrame:
-    """(conv, inquiry, resolution): first merged message of either role, whichever came first."""
+def first_messages(runs: DataFrame, conv: str, customer: str, support: str, *more: Column) -> DataFrame:
+    """(conv, inquiry, resolution, more..): first merged message of either role, whichever came first.
+
+    ``more`` are further aggregates of the runs of a conversation.
+    """
     one = runs.groupBy(conv).agg(
         F.min_by("text", F.when(F.col("role") == customer, F.col("first_turn"))).alias("inquiry"),
         F.min_by("text", F.when(F.col("role") == support, F.col("first_turn"))).alias("resolution"),
+        *more,
     )
     return one.where(F.col("inquiry").isNotNull() & F.col("resolution").isNotNull())
 

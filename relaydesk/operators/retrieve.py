@@ -3,9 +3,9 @@
 ``ReplyIndex`` holds unit vectors of the mined inquiries. Two exact ways lead
 to the same neighbours:
 
-* a table of mined replies whose postings fit ``MAX_BROADCAST_POSTINGS`` (the
-  mining limit of 1,500 rows is far below it) goes to every task once, and a
-  message is scored where it lies: no shuffle, so no skew either;
+* a table of mined replies whose counted postings and text bytes stay below the
+  two limits (the mining limit of 1,500 rows is far below them) goes to every
+  task once, and a message is scored where it lies: no shuffle, so no skew;
 * a larger table is joined on terms. For every message the terms that cannot
   lift a reply into the top k are left out first (the MaxScore bound of Turtle
   and Flood 1995), so that frequent terms are not expanded into pairs, and
@@ -28,6 +28,7 @@ from relaydesk.functions.text import bind
 from relaydesk.operators.tfidf import TfidfModel, double_array
 
 MAX_BROADCAST_POSTINGS = 4_000_000
+MAX_BROADCAST_TEXT = 256 * 1024 * 1024
 _PLACES = 9
 _MARGIN = 1e-7
 
@@ -46,6 +47,7 @@ class ReplyIndex:
     model: TfidfModel
     vectors: DataFrame | None
     postings: int
+    text_bytes: int = 0
     max_broadcast: int = MAX_BROADCAST_POSTINGS
 
     @classmethod
@@ -65,12 +67,16 @@ class ReplyIndex:
         ).persist(StorageLevel.MEMORY_AND_DISK)
         model = TfidfModel.fit(kept, "inquiry", max_features, sublinear)
         vectors = model.transform(kept, "inquiry").persist(StorageLevel.MEMORY_AND_DISK)
-        size = vectors.agg(F.coalesce(F.sum(F.size("vec.idx") + 1), F.lit(0)).alias("n")).first().n
-        return cls(model, vectors if size else None, int(size), max_broadcast)
+        size = vectors.agg(
+            F.coalesce(F.sum(F.size("vec.idx") + 1), F.lit(0)).alias("postings"),
+            F.coalesce(F.sum(F.octet_length("resolution")), F.lit(0)).alias("text_bytes"),
+        ).first()
+        return cls(model, vectors if size.postings else None, size.postings, size.text_bytes, max_broadcast)
 
     @property
     def fits_broadcast(self) -> bool:
-        return self.postings <= self.max_broadcast
+        """Both the postings and the reply texts are small enough to be handed to every task."""
+        return self.postings <= self.max_broadcast and self.text_bytes <= MAX_BROADCAST_TEXT
 
     def with_broadcast_limit(self, postings: int) -> ReplyIndex:
         return replace(self, max_broadcast=postings)

@@ -76,8 +76,8 @@ def conversation_cases(spark: SparkSession, folder: str) -> DataFrame:
     two customer messages counts as one to escalate.
     """
     runs = conv.speaker_runs(turns(spark, folder))
-    needed = runs.groupBy("conv_id").agg(F.count_if(F.col("role") == "user").alias("n_user"))
-    pairs = conv.first_messages(runs, "conv_id", "user", "assistant").join(needed, "conv_id")
+    needed = F.count_if(F.col("role") == "user").alias("n_user")
+    pairs = conv.first_messages(runs, "conv_id", "user", "assistant", needed)
     scores = rules.rule_scores(F.col("resolution"), LABELS, LANGUAGES.intent_rules, 1.0)
     return pairs.withColumn("_s", scores).select(
         "conv_id",
@@ -442,8 +442,10 @@ def stream_triage(spark: SparkSession, folder: str) -> DataFrame:
     system = System.create("proposed", LANGUAGES, mined(spark, folder))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
     out, state = fresh_dir(spark, "triaged"), fresh_dir(spark, "triage-state")
-    stream = write_triage(read_messages(spark, f"{folder}/documents.parquet*", schema), system, out, state)
-    stream.awaitTermination()
+    small = io.plan_bytes(read_table(spark, folder, "documents")) < io.SMALL_INPUT_BYTES
+    cores = spark.sparkContext.defaultParallelism if small else None
+    messages = read_messages(spark, f"{folder}/documents.parquet*", schema, partitions=cores)
+    write_triage(messages, system, out, state).awaitTermination()
     return _flat_triage(spark.read.parquet(out))
 
 
