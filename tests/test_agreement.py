@@ -1,0 +1,98 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from relaydesk.functions.special import beta_regularized
+from relaydesk.operators import agreement as agree
+
+
+def _df(spark, pairs):
+    return spark.createDataFrame(pairs, "h double, j double")
+
+
+def _ranks(x):
+    x = np.asarray(x)
+    return np.array([(x < v).sum() + ((x == v).sum() + 1) / 2 for v in x])
+
+
+def _kappa(a, b):
+    labels = sorted(set(a) | set(b))
+    at = {v: i for i, v in enumerate(labels)}
+    seen = np.zeros((len(labels), len(labels)))
+    for x, y in zip(a, b):
+        seen[at[x], at[y]] += 1
+    w = (np.arange(len(labels))[:, None] - np.arange(len(labels))) ** 2
+    return 1 - (w * seen).sum() / (w * np.outer(seen.sum(1), seen.sum(0)) / len(a)).sum()
+
+
+def test_identical_ratings_agree(spark):
+    got = agree.agreement(_df(spark, [(float(i), float(i)) for i in range(1, 6)]), F.col("h"), F.col("j")).first()
+    assert got.quadratic_weighted_kappa == 1.0
+    assert got.pearson_correlation == pytest.approx(1.0)
+    assert got.spearman_correlation == pytest.approx(1.0)
+    assert (got.exact_agreement_rate, got.mean_absolute_error_MAE, got.sample_size) == (1.0, 0.0, 5)
+
+
+@pytest.mark.parametrize("kind", ["ratings", "continuous", "gap"])
+def test_against_plain_formulas(spark, kind):
+    rng = random.Random(kind)
+    if kind == "continuous":
+        pairs = [(rng.random(), rng.random()) for _ in range(700)]
+        pairs = [(a * 5, (a + 0.3 * b) * 4) for a, b in pairs]
+    else:
+        levels = [1.0, 1.5, 2.0, 2.5, 3.5, 5.0] if kind == "ratings" else [1.0, 5.0]
+        pairs = [(a, a if rng.random() < 0.4 else rng.choice(levels)) for a in (rng.choice(levels) for _ in range(300))]
+    got = agree.agreement(_df(spark, pairs), F.col("h"), F.col("j")).first()
+    h, j = map(np.array, zip(*pairs))
+    whole_h, whole_j = [round(x) for x in h], [round(x) for x in j]
+    assert got.sample_size == len(pairs)
+    assert got.quadratic_weighted_kappa == pytest.approx(_kappa(whole_h, whole_j))
+    assert got.pearson_correlation == pytest.approx(np.corrcoef(h, j)[0, 1])
+    assert got.spearman_correlation == pytest.approx(np.corrcoef(_ranks(h), _ranks(j))[0, 1])
+    assert got.mean_absolute_error_MAE == pytest.approx(np.abs(h - j).mean())
+    assert got.exact_agreement_rate == pytest.approx(np.mean([a == b for a, b in zip(whole_h, whole_j)]))
+    assert got.within_1_point_agreement_rate == pytest.approx(np.mean([abs(a - b) <= 1 for a, b in zip(whole_h, whole_j)]))
+    assert (got.human_mean_score, got.judge_mean_score) == (pytest.approx(h.mean()), pytest.approx(j.mean()))
+
+
+def test_halves_go_to_the_even_rating(spark):
+    df = spark.createDataFrame([(v,) for v in (0.5, 1.5, 2.5, 3.5, 4.5, 2.4999)], "v double")
+    assert [r[0] for r in df.select(agree.discretise(F.col("v"))).collect()] == [0, 2, 2, 4, 4, 2]
+
+
+def test_constant_rater_and_small_inputs(spark):
+    got = agree.agreement(_df(spark, [(3.0, 3.0)] * 4), F.col("h"), F.col("j")).first()
+    assert got.quadratic_weighted_kappa is None and got.pearson_correlation is None and got.pearson_p_value is None
+    assert got.exact_agreement_rate == 1.0
+    assert agree.agreement(_df(spark, []), F.col("h"), F.col("j")).collect() == []
+    two = agree.agreement(_df(spark, [(1.0, 2.0), (2.0, 4.0)]), F.col("h"), F.col("j")).first()
+    assert two.pearson_correlation == pytest.approx(1.0) and two.pearson_p_value == 1.0
+    missing = agree.agreement(_df(spark, [(1.0, None), (None, 1.0), (2.0, 2.0)]), F.col("h"), F.col("j")).first()
+    assert missing.sample_size == 1
+
+
+def test_p_values_of_published_coefficients(spark):
+    from relaydesk.functions.special import correlation_p_value
+
+    df = spark.createDataFrame([(0.9191594155977199, 50), (0.9160857106244789, 50), (0.0, 10)], "r double, n long")
+    got = [r[0] for r in df.select(correlation_p_value("r", "n")).collect()]
+    assert got[0] == pytest.approx(4.697398479812204e-21, rel=1e-9)
+    assert got[1] == pytest.approx(1.110434179190202e-20, rel=1e-9)
+    assert got[2] == pytest.approx(1.0)
+
+
+def test_beta_table_values():
+    # t = 2.228139 is the two-sided 5 % point for 10 degrees of freedom, t = 63.656741 the 1 % point for 1
+    for t, df, p in ((2.2281388519649385, 10, 0.05), (63.65674116, 1, 0.01), (1.959963984540054, 10**6, 0.05)):
+        assert beta_regularized(df / 2, 0.5, df / (df + t * t)) == pytest.approx(p, rel=1e-5)
+
+
+def test_running_ranks_use_many_ranges(spark):
+    values = spark.range(5000).select((F.col("id") * 37 % 5000).alias("v"), (F.col("id") % 3 + 1).alias("n"))
+    got = {r.v: (r.mean_rank, r.position) for r in agree.running_ranks(values).collect()}
+    below, place = 0, 0
+    for v, n in sorted((r.v, r.n) for r in values.collect()):
+        assert got[v] == (below + (n + 1) / 2, place)
+        below, place = below + n, place + 1

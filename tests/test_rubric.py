@@ -1,0 +1,77 @@
+import pytest
+
+from relaydesk.operators.rubric import WEIGHTS, add_rubric, rubric_summary
+
+ROW = "message string, reply string, gold string, t boolean, p boolean, intent string"
+
+
+def _score(spark, message="m", reply="r", gold="g", t=False, p=False):
+    df = spark.createDataFrame([(message, reply, gold, t, p, "x")], ROW)
+    return add_rubric(df, "message", "reply", "gold", "t", "p", "intent").first()
+
+
+@pytest.mark.parametrize(
+    "message, t, p, score",
+    [("m", True, True, 5), ("m", False, False, 5), ("m", False, True, 3), ("m", True, False, 2), ("a Spark!", True, False, 1), ("BULGING", True, False, 1)],
+)
+def test_routing(spark, message, t, p, score):
+    assert _score(spark, message, t=t, p=p).escalation_appropriateness == score
+
+
+@pytest.mark.parametrize(
+    "same, score", [(40, 5), (39, 4), (25, 4), (24, 3), (12, 3), (11, 2), (0, 2)]
+)
+def test_grounding_steps(spark, same, score):
+    words = [f"word{i:03d}" for i in range(100)]
+    assert _score(spark, gold=" ".join(words), reply=" ".join(words[:same])).correctness_and_grounding == score
+
+
+def test_grounding_without_overlap_or_gold(spark):
+    assert _score(spark, gold="", reply="nothing").correctness_and_grounding == 2
+    assert _score(spark, gold="abcd", reply="please DM us").correctness_and_grounding == 3
+
+
+@pytest.mark.parametrize(
+    "reply, tone", [("here to help", 4), ("help sorry", 4), ("here to help, sorry", 5), ("nothing", 3)]
+)
+def test_tone_counts_markers_inside_markers(spark, reply, tone):
+    assert _score(spark, reply=reply).brand_tone_empathy == tone
+
+
+@pytest.mark.parametrize(
+    "reply, p, score",
+    [("tap and press", False, 5), ("tap", False, 4), ("none", False, 3), ("dm us", True, 5), ("dm us", False, 3)],
+)
+def test_actionability(spark, reply, p, score):
+    assert _score(spark, reply=reply, p=p).clarity_actionability == score
+
+
+@pytest.mark.parametrize(
+    "message, reply, score",
+    [
+        ("m", "x" * 350, 5),
+        ("m", "x" * 351, 4),
+        ("dry it in rice?", "put it in rice", 1),
+        ("dry it in rice?", "don't use rice", 5),
+        ("swollen", "use another charger", 1),
+        ("fine", "use another charger", 5),
+        ("swollen", "charge " + "x" * 400, 1),
+    ],
+)
+def test_safety(spark, message, reply, score):
+    assert _score(spark, message, reply).safety_conciseness == score
+
+
+def test_composite_and_feedback(spark):
+    row = _score(spark, t=True, p=False)
+    assert row.composite_score == pytest.approx(round(sum(w * row[c] for c, w in WEIGHTS.items()), 2))
+    assert row.feedback == "Grounded response evaluated for x. Escalation match: False."
+
+
+def test_summary_buckets_are_closed_on_the_left(spark):
+    values = [5.0, 4.5, 4.49, 3.5, 3.49, 2.5, 2.49, 1.5, 1.49]
+    got = rubric_summary(spark.createDataFrame([(v,) for v in values], "composite_score double")).first()
+    assert [got[f"{n}_stars"] for n in (5, 4, 3, 2)] + [got["1_star"]] == [2, 2, 2, 2, 1]
+    mean = sum(values) / len(values)
+    assert got.mean_composite_score == pytest.approx(mean)
+    assert got.std_composite_score == pytest.approx((sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5)
