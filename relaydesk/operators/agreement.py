@@ -160,11 +160,14 @@ def agreement(df: DataFrame, human: Column, judge: Column) -> DataFrame:
         ),
         F.try_divide(F.sum(n * a), size).alias("human_mean_score"),
         F.try_divide(F.sum(n * b), size).alias("judge_mean_score"),
+        # aggregated like the rest, so that the p-values below start from plain columns
+        F.max(_kappa(whole).scalar()).alias("quadratic_weighted_kappa"),
+        F.max(_pearson(pairs).scalar()).alias("pearson_correlation"),
+        F.max(_spearman(pairs).scalar()).alias("spearman_correlation"),
     ).where(F.col("sample_size") > 0)
-    return (
-        basic.withColumn("quadratic_weighted_kappa", _kappa(whole).scalar())
-        .withColumn("pearson_correlation", _pearson(pairs).scalar())
-        .withColumn("spearman_correlation", _spearman(pairs).scalar())
-        .withColumn("pearson_p_value", correlation_p_value("pearson_correlation", "sample_size"))
-        .withColumn("spearman_p_value", correlation_p_value("spearman_correlation", "sample_size"))
+    return basic.withColumns(
+        {
+            "pearson_p_value": correlation_p_value("pearson_correlation", "sample_size"),
+            "spearman_p_value": correlation_p_value("spearman_correlation", "sample_size"),
+        }
     )

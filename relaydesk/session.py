@@ -32,14 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of this machine, because
     there every task runs on this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="run-", dir=tempfile.gettempdir())
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir=tempfile.gettempdir()))
+    return context.getCheckpointDir()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
