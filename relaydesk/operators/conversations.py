@@ -139,14 +139,16 @@ def first_messages(runs: DataFrame, conv: str, customer: str, support: str, *mor
 
 
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
-    """For every distinct ``key`` the row that comes first by the unique column ``order``.
+    """For every distinct text ``key`` the row that comes first by the unique column ``order``.
 
-    Copies are combined before the shuffle, so a text that makes up a third
-    of the rows costs one row per task; no window ever holds all its copies.
+    Texts are told apart by their SHA-256, so what is sorted and compared is
+    short however long they are. Copies are combined before the shuffle: a text
+    that makes up a third of the rows costs one row per task, and no window
+    ever holds all its copies. Rows without a text count as copies of each other.
     """
-    rest = [c for c in df.columns if c != key]
-    first = df.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_first"))
-    return first.select(*[F.col(c) if c == key else F.col(f"_first.{c}") for c in df.columns])
+    digest = F.unhex(F.sha2(F.col(key), 256)).alias("_digest")
+    first = df.groupBy(digest).agg(F.min_by(F.struct(*df.columns), order).alias("_first"))
+    return first.select("_first.*")
 
 
 def mine_replies(

@@ -7,6 +7,7 @@ and combined before the shuffle. ``by`` adds grouping columns such as ``system``
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,75 +22,97 @@ def label_counts(df: DataFrame, truth: str, guess: str, by: Sequence[str] = ())
     )
 
 
-def _grid(counts: DataFrame, labels: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Every pair of labels per group; the label list is configuration."""
-    names = F.array(*[F.lit(x) for x in labels])
-    groups = counts.select(*by).distinct() if by else counts.sparkSession.range(1).select()
-    return groups.select("*", F.explode(names).alias("true_label")).select("*", F.explode(names).alias("pred_label"))
-
-
 def confusion_matrix(df: DataFrame, truth: str, guess: str, labels: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Dense (by.., true_label, pred_label, n); labels outside the list are left out."""
-    counts = label_counts(df, truth, guess, by)
-    keys = [*by, "true_label", "pred_label"]
-    return _grid(counts, labels, by).join(counts, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).alias("n"))
+    listed = F.col("true_label").isin(*labels) & F.col("pred_label").isin(*labels)
+    cells = F.collect_list(F.when(listed, F.struct("true_label", "pred_label", "n")))  # labels squared at most
+    names = F.array(*[F.lit(x) for x in labels])
+    grid = F.flatten(
+        F.transform(names, lambda t: F.transform(names, lambda p: F.struct(t.alias("true_label"), p.alias("pred_label"))))
+    )
+    filled = F.transform(
+        grid,
+        lambda g: F.struct(
+            g["true_label"].alias("true_label"),
+            g["pred_label"].alias("pred_label"),
+            F.aggregate(
+                F.col("cells"),
+                F.lit(0).cast("long"),
+                lambda total, c: total
+                + F.when((c["true_label"] == g["true_label"]) & (c["pred_label"] == g["pred_label"]), c["n"]).otherwise(
+                    F.lit(0)
+                ),
+            ).alias("n"),
+        ),
+    )
+    return label_counts(df, truth, guess, by).groupBy(*by).agg(cells.alias("cells")).select(*by, F.inline(filled))
 
 
-def class_report(df: DataFrame, truth: str, guess: str, labels: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by.., label, precision, recall, f1, support); an empty base gives 0.
+def label_sums(labels: Sequence[str]) -> list[Column]:
+    """Aggregates over (true_label, pred_label, n): rows, hits, and per label number hit, true and predicted.
 
     A row outside the label list still counts as an error of the label on its other side.
     """
-    counts = label_counts(df, truth, guess, by)
-    sides = F.explode(
-        F.array(
-            F.struct(F.col("true_label").alias("label"), F.col("n").alias("t"), F.lit(0).cast("long").alias("p")),
-            F.struct(F.col("pred_label").alias("label"), F.lit(0).cast("long").alias("t"), F.col("n").alias("p")),
-        )
-    )
-    hit = F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(F.lit(0))
-    per_label = (
-        counts.select(*by, hit.alias("hit"), sides.alias("s"))
-        .groupBy(*by, F.col("s.label").alias("label"))
-        .agg(
-            F.sum(F.when(F.col("s.t") > 0, F.col("hit")).otherwise(F.lit(0))).alias("tp"),
-            F.sum("s.t").alias("support"),
-            F.sum("s.p").alias("predicted"),
-        )
-    )
-    names = F.array(*[F.lit(x) for x in labels])
-    groups = counts.select(*by).distinct() if by else counts.sparkSession.range(1).select()
-    domain = groups.select("*", F.explode(names).alias("label"))
-    tp, support, predicted = F.col("tp"), F.col("support"), F.col("predicted")
-    return domain.join(per_label, [*by, "label"], "left").select(
-        *by,
-        "label",
-        ratio(tp, predicted).alias("precision"),
-        ratio(tp, support).alias("recall"),
-        ratio(2 * tp, support + predicted).alias("f1"),
-        F.coalesce(support, F.lit(0)).alias("support"),
-    )
+    t, p, n = F.col("true_label"), F.col("pred_label"), F.col("n")
+
+    def where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias("rows"), where(t == p).alias("right")]
+    for i, x in enumerate(labels):
+        sums += [
+            where((t == x) & (p == x)).alias(f"hit{i}"),
+            where(t == x).alias(f"support{i}"),
+            where(p == x).alias(f"predicted{i}"),
+        ]
+    return sums
+
+
+def label_scores(i: int) -> dict[str, Column]:
+    """Scores of label number ``i`` over the columns of ``label_sums``; an empty base gives 0."""
+    hit, support, predicted = F.col(f"hit{i}"), F.col(f"support{i}"), F.col(f"predicted{i}")
+    return {
+        "precision": ratio(hit, predicted),
+        "recall": ratio(hit, support),
+        "f1": ratio(2 * hit, support + predicted),
+        "support": support,
+    }
+
+
+def macro_scores(labels: Sequence[str]) -> dict[str, Column]:
+    """Accuracy and plain means over the label list, over the columns of ``label_sums``."""
+
+    def mean(name: str) -> Column:
+        return reduce(lambda a, b: a + b, [label_scores(i)[name] for i in range(len(labels))]) / len(labels)
+
+    return {
+        "accuracy": ratio(F.col("right"), F.col("rows")),
+        "macro_precision": mean("precision"),
+        "macro_recall": mean("recall"),
+        "macro_f1": mean("f1"),
+    }
+
+
+def class_report(df: DataFrame, truth: str, guess: str, labels: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by.., label, precision, recall, f1, support) for every listed label."""
+    sums = label_counts(df, truth, guess, by).groupBy(*by).agg(*label_sums(labels))
+    rows = [
+        F.struct(F.lit(x).alias("label"), *[c.alias(name) for name, c in label_scores(i).items()])
+        for i, x in enumerate(labels)
+    ]
+    return sums.select(*by, F.inline(F.array(*rows)))
 
 
 def macro_report(df: DataFrame, truth: str, guess: str, labels: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by.., accuracy, macro_precision, macro_recall, macro_f1): plain means over the label list."""
-    if not by:
-        whole = macro_report(df.withColumn("_all", F.lit(0)), truth, guess, labels, ("_all",))
-        return whole.drop("_all")
-    macro = class_report(df, truth, guess, labels, by).groupBy(*by).agg(
-        F.avg("precision").alias("macro_precision"),
-        F.avg("recall").alias("macro_recall"),
-        F.avg("f1").alias("macro_f1"),
-    )
-    right = F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(F.lit(0)))
-    hits = label_counts(df, truth, guess, by).groupBy(*by).agg(ratio(right, F.sum("n")).alias("accuracy"))
-    return hits.join(macro, list(by))
+    """(by.., accuracy, macro_precision, macro_recall, macro_f1)."""
+    sums = label_counts(df, truth, guess, by).groupBy(*by).agg(*label_sums(labels))
+    return sums.select(*by, *[c.alias(name) for name, c in macro_scores(labels).items()])
 
 
 def escalation_report(df: DataFrame, truth: str, guess: str, by: Sequence[str] = ()) -> DataFrame:
     """Binary counts and rates; the positive class is an escalated message."""
     t, p = F.col(truth), F.col(guess)
-    counts = (df.groupBy(*by) if by else df.groupBy()).agg(
+    counts = df.groupBy(*by).agg(
         F.count_if(t & p).alias("true_positives"),
         F.count_if(~t & p).alias("false_positives"),
         F.count_if(t & ~p).alias("false_negatives"),

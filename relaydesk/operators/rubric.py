@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -86,15 +87,20 @@ def add_rubric(
     ).drop("_gold", "_out", "_tone", "_action")
 
 
-def rubric_summary(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Mean, population deviation and the five star counts, per ``by`` group or overall."""
-    score = F.col("composite_score")
+def star_counts(score: Column) -> list[Column]:
+    """One aggregate per star bucket, closed on the left."""
     above = None
     stars = []
     for name, limit in STARS:
         inside = F.lit(True) if limit is None else score >= limit
         stars.append(F.count_if(inside if above is None else inside & (score < above)).alias(name))
         above = limit
-    return (scored.groupBy(*by) if by else scored.groupBy()).agg(
-        F.avg(score).alias("mean_composite_score"), F.stddev_pop(score).alias("std_composite_score"), *stars
+    return stars
+
+
+def rubric_summary(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Mean, population deviation and the five star counts, per ``by`` group or overall."""
+    score = F.col("composite_score")
+    return scored.groupBy(*by).agg(
+        F.avg(score).alias("mean_composite_score"), F.stddev_pop(score).alias("std_composite_score"), *star_counts(score)
     )

@@ -10,16 +10,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaydesk.functions.overlap import add_overlap_scores
+from relaydesk.functions.overlap import SCORES, add_overlap_scores
 from relaydesk.functions.text import ratio
-from relaydesk.operators.rubric import STARS, add_rubric
+from relaydesk.operators.metrics import label_scores, label_sums, macro_scores
+from relaydesk.operators.rubric import STARS, add_rubric, star_counts
 from relaydesk.plans.triage import System, triage
 
 HEADLINE = ("macro_f1", "f1", "false_auto_handle_rate_FAHR", "mean_rougeL", "mean_composite_score")
-_OVERLAPS = ("rouge1", "rouge2", "rougeL", "bleu4")
 
 
 def scored_predictions(cases: DataFrame, system: System, name: str, own: str | None = None) -> DataFrame:
@@ -36,54 +36,30 @@ def _facts(scored: DataFrame) -> DataFrame:
     """All that the metrics need, per (system, truth, prediction): the only pass over the cases."""
     t, p = F.col("true_escalate"), F.col("pred_escalate")
     score = F.col("composite_score")
-    above, stars = None, []
-    for name, limit in STARS:
-        inside = F.lit(True) if limit is None else score >= limit
-        stars.append(F.count_if(inside if above is None else inside & (score < above)).alias(name))
-        above = limit
-    return scored.groupBy("system", "true_intent", F.col("intent").alias("pred_intent")).agg(
+    return scored.groupBy("system", F.col("true_intent").alias("true_label"), F.col("intent").alias("pred_label")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(t & p).alias("tp"),
         F.count_if(~t & p).alias("fp"),
         F.count_if(t & ~p).alias("fn"),
         F.count_if(~t & ~p).alias("tn"),
-        *[F.sum(m).alias(m) for m in _OVERLAPS],
+        *[F.sum(m).alias(m) for m in SCORES],
         F.sum(score).alias("composite"),
         F.sum(score * score).alias("composite2"),
-        *stars,
+        *star_counts(score),
     )
 
 
 def metric_table(scored: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Long table (system, metric, label, value) of all metrics; ``label`` is '' for scalars."""
-    # a few rows per system: labels squared
-    facts = _facts(scored)
-    right = F.when(F.col("true_intent") == F.col("pred_intent"), F.col("n")).otherwise(F.lit(0))
-    label_columns = {}
-    for i, x in enumerate(labels):
-        true_x, pred_x = F.col("true_intent") == x, F.col("pred_intent") == x
-        label_columns[f"hit{i}"] = F.sum(F.when(true_x & pred_x, F.col("n")).otherwise(F.lit(0)))
-        label_columns[f"support{i}"] = F.sum(F.when(true_x, F.col("n")).otherwise(F.lit(0)))
-        label_columns[f"predicted{i}"] = F.sum(F.when(pred_x, F.col("n")).otherwise(F.lit(0)))
-    sums = ("n", "tp", "fp", "fn", "tn", *_OVERLAPS, "composite", "composite2", *[s for s, _ in STARS])
-    wide = facts.groupBy("system").agg(
-        F.sum(right).alias("right"),
-        *[F.sum(c).alias(c) for c in sums],
-        *[column.alias(name) for name, column in label_columns.items()],
-    )
-    n, tp, fp, fn, tn = (F.col(c) for c in ("n", "tp", "fp", "fn", "tn"))
-    precision = [ratio(F.col(f"hit{i}"), F.col(f"predicted{i}")) for i in range(len(labels))]
-    recall = [ratio(F.col(f"hit{i}"), F.col(f"support{i}")) for i in range(len(labels))]
-    f1 = [
-        ratio(2 * F.col(f"hit{i}"), F.col(f"support{i}") + F.col(f"predicted{i}")) for i in range(len(labels))
-    ]
-    mean = lambda columns: reduce(lambda a, b: a + b, columns) / len(columns)
+    stars = [name for name, _ in STARS]
+    sums = ("tp", "fp", "fn", "tn", *SCORES, "composite", "composite2", *stars)
+    wide = _facts(scored).groupBy("system").agg(*label_sums(labels), *[F.sum(c).alias(c) for c in sums])
+    n, tp, fp, fn, tn = (F.col(c) for c in ("rows", "tp", "fp", "fn", "tn"))
+    macro = macro_scores(labels)
     average = F.col("composite") / n
     scalars = {
-        "intent_accuracy": ratio(F.col("right"), n),
-        "macro_precision": mean(precision),
-        "macro_recall": mean(recall),
-        "macro_f1": mean(f1),
+        "intent_accuracy": macro.pop("accuracy"),
+        **macro,
         "escalation_accuracy": ratio(tp + tn, n),
         "precision": ratio(tp, tp + fp),
         "recall": ratio(tp, tp + fn),
@@ -94,22 +70,21 @@ def metric_table(scored: DataFrame, labels: Sequence[str]) -> DataFrame:
         "true_negatives": tn,
         "false_auto_handle_rate_FAHR": ratio(fn, fn + tp),
         "false_escalation_rate_FER": ratio(fp, fp + tn),
-        **{f"mean_{m}": F.col(m) / n for m in _OVERLAPS},
+        **{f"mean_{m}": F.col(m) / n for m in SCORES},
         "mean_composite_score": average,
+        # scores lie in 1..5, so the difference of squares loses nothing that matters
         "std_composite_score": F.sqrt(F.greatest(F.col("composite2") / n - average * average, F.lit(0.0))),
-        **{name: F.col(name) for name, _ in STARS},
+        **{name: F.col(name) for name in stars},
     }
-    entry = lambda metric, label, value: F.struct(
-        F.lit(metric).alias("metric"), F.lit(label).alias("label"), value.cast("double").alias("value")
-    )
+
+    def entry(metric: str, label: str, value: Column) -> Column:
+        return F.struct(
+            F.lit(metric).alias("metric"), F.lit(label).alias("label"), value.cast("double").alias("value")
+        )
+
     entries = [entry(name, "", value) for name, value in scalars.items()]
     for i, x in enumerate(labels):
-        entries += [
-            entry("class_precision", x, precision[i]),
-            entry("class_recall", x, recall[i]),
-            entry("class_f1", x, f1[i]),
-            entry("class_support", x, F.col(f"support{i}")),
-        ]
+        entries += [entry(f"class_{name}", x, value) for name, value in label_scores(i).items()]
     return wide.select("system", F.inline(F.array(*entries)))
 
 

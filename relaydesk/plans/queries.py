@@ -621,7 +621,7 @@ def calibration(spark: SparkSession, folder: str) -> DataFrame:
 
 def _variants(spark: SparkSession, folder: str, fitted: bool) -> list[DataFrame]:
     cases = spread(conversation_cases(spark, folder)).persist()
-    replies = mined(spark, folder)
+    replies = mined(spark, folder).persist()
     made = []
     for mode in ("trivial", "simple", "proposed"):
         system = System.create(mode, LANGUAGES, replies)
