@@ -9,20 +9,32 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relaydesk.operators.rules import softmax
-from relaydesk.sources.tables import gather
 from relaydesk.operators.tfidf import TfidfModel, double_array
+from relaydesk.session import fresh_dir
+from relaydesk.sources.tables import gather
 
 MAX_FEATURES = 2500
 
 
-@F.udf(returnType=VectorUDT(), useArrow=False)
-def _sparse(size: int, idx: list[int], w: list[float]):
-    return Vectors.sparse(size, idx, w)
+_TRAINING = T.StructType(
+    [T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType()), T.StructField("weight", T.DoubleType())]
+)
+
+
+def _as_vector(size: int, vec: Column) -> Column:
+    """The stored form of a sparse vector; a parquet reader asked for vectors takes it as one."""
+    return F.struct(
+        F.lit(0).cast("byte").alias("type"),
+        F.lit(size).alias("size"),
+        vec["idx"].alias("indices"),
+        vec["w"].alias("values"),
+    )
 
 
 @dataclass(frozen=True)
@@ -50,11 +62,13 @@ class IntentModel:
         rows = sum(counts.values())
         weight = F.coalesce(*[F.when(F.col(label) == x, F.lit(rows / (len(classes) * counts[x]))) for x in classes])
         number = F.coalesce(*[F.when(F.col(label) == x, F.lit(float(i))) for i, x in enumerate(classes)])
-        train = tfidf.transform(known, text).select(
-            _sparse(F.lit(len(tfidf.terms)), F.col("vec.idx"), F.col("vec.w")).alias("features"),
-            number.alias("label"),
-            weight.alias("weight"),
+        rows_out = tfidf.transform(known, text).select(
+            _as_vector(len(tfidf.terms), F.col("vec")).alias("features"), number.alias("label"), weight.alias("weight")
         )
+        # written once: the iterations below read features, not texts, also after a lost executor
+        path = fresh_dir(df.sparkSession, "features")
+        gather(rows_out, known).write.parquet(path)
+        train = df.sparkSession.read.schema(_TRAINING).parquet(path)
         fitted = LogisticRegression(
             family="multinomial",
             weightCol="weight",
@@ -62,7 +76,7 @@ class IntentModel:
             elasticNetParam=0.0,
             regParam=1.0 / (c * rows),
             maxIter=1000,
-        ).fit(gather(train, known))
+        ).fit(train)
         matrix = fitted.coefficientMatrix.toArray()
         return cls(tfidf, classes, tuple(map(tuple, matrix.tolist())), tuple(fitted.interceptVector.toArray().tolist()))
 

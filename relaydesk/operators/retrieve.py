@@ -29,6 +29,7 @@ from relaydesk.operators.tfidf import TfidfModel, double_array
 
 MAX_BROADCAST_POSTINGS = 4_000_000
 MAX_BROADCAST_TEXT = 256 * 1024 * 1024
+POSTINGS_PER_PIECE = 20_000
 _PLACES = 9
 _MARGIN = 1e-7
 
@@ -151,26 +152,34 @@ def _best(idx, w, own, kb_ids, start, place, weight, k: int) -> tuple[list, list
 # ---------------------------------------------------------------- large table: join on terms
 
 
-def _term_bounds(vectors: DataFrame, terms: int, k: int) -> tuple[Column, Column]:
-    """Per term the largest weight and the (k+1)-th largest (0 if fewer), as constant arrays.
+@dataclass(frozen=True)
+class _TermBounds:
+    """Constant arrays over the vocabulary."""
 
-    One more than k, because a message may have to skip its own thread.
-    """
+    top: Column  # largest weight of the term
+    kth: Column  # (k+1)-th largest, 0 if fewer; one more than k, as a message may have to skip its own thread
+    pieces: Column  # parts into which the postings of the term are cut
+
+
+def _term_bounds(vectors: DataFrame, terms: int, k: int) -> _TermBounds:
     posting = vectors.select(F.inline(F.arrays_zip(F.col("vec.idx").alias("term"), F.col("vec.w").alias("weight"))))
+    # at most one row per vocabulary term reaches the driver
+    held = {r.term: r.n for r in posting.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
     ranked = posting.withColumn("r", F.row_number().over(Window.partitionBy("term").orderBy(F.desc("weight"))))
     rows = (
         ranked.where(F.col("r") <= k + 1)
         .groupBy("term")
         .agg(F.max("weight").alias("top"), F.max(F.when(F.col("r") == k + 1, F.col("weight"))).alias("kth"))
-        .collect()  # at most one row per vocabulary term
+        .collect()
     )
     top, kth = [0.0] * terms, [0.0] * terms
     for row in rows:
         top[row.term], kth[row.term] = row.top, row.kth or 0.0
-    return double_array(top), double_array(kth)
+    pieces = [-(-held.get(t, 1) // POSTINGS_PER_PIECE) for t in range(terms)]
+    return _TermBounds(double_array(top), double_array(kth), double_array(pieces).cast("array<int>"))
 
 
-def _split_terms(vec: Column, top: Column, kth: Column) -> Column:
+def _split_terms(vec: Column, bounds: _TermBounds) -> Column:
     """Struct (rest, need): terms a reply must share to reach the top k, and what all others add at most.
 
     Some k replies score at least floor = max(weight * kth). Terms are taken
@@ -181,9 +190,9 @@ def _split_terms(vec: Column, top: Column, kth: Column) -> Column:
     weighted = F.arrays_zip(vec["w"].alias("w"), vec["idx"].alias("t"))
     parts = F.transform(
         weighted,
-        lambda x: F.struct((x["w"] * F.get(top, x["t"])).alias("most"), x["t"].alias("term"), x["w"].alias("weight")),
+        lambda x: F.struct((x["w"] * F.get(bounds.top, x["t"])).alias("most"), x["t"].alias("term"), x["w"].alias("weight")),
     )
-    floor = F.array_max(F.transform(weighted, lambda x: x["w"] * F.get(kth, x["t"])))
+    floor = F.array_max(F.transform(weighted, lambda x: x["w"] * F.get(bounds.kth, x["t"])))
     return bind(
         F.struct(F.sort_array(parts).alias("p"), (floor - F.lit(_MARGIN)).alias("floor")),
         lambda b: F.aggregate(
@@ -216,16 +225,22 @@ def _dot(left: Column, right: Column) -> Column:
 
 def _joined(messages: DataFrame, index: ReplyIndex, k: int, out: str) -> DataFrame:
     vectors = index.vectors.select("kb_id", "vec")
-    top, kth = _term_bounds(vectors, len(index.model.terms), k)
+    bounds = _term_bounds(vectors, len(index.model.terms), k)
     asked = messages.select("_ask", "_own", "_vec").dropDuplicates(["_ask"])
-    split = asked.select("_ask", "_own", _split_terms(F.col("_vec"), top, kth).alias("_s"))
+    split = asked.select("_ask", "_own", _split_terms(F.col("_vec"), bounds).alias("_s"))
     # inline of an expression, not of a column: for a column a filter would be inferred and the vectors made again
     needed = split.select("_ask", "_own", "_s.rest", F.inline(F.transform("_s.need", lambda x: x)))
     posting = vectors.select(
         "kb_id", F.inline(F.arrays_zip(F.col("vec.idx").alias("term"), F.col("vec.w").alias("kb_weight")))
     )
+    # a frequent term is cut into pieces, so that no task holds all its postings
+    pieces = F.get(bounds.pieces, F.col("term"))
+    posting = posting.withColumn("piece", F.pmod(F.xxhash64("kb_id"), pieces).cast("int"))
+    needed = needed.select(
+        "*", F.inline(F.transform(F.sequence(F.lit(0), pieces - 1), lambda i: F.struct(i.alias("piece"))))
+    )
     met = (
-        needed.join(posting, "term")
+        needed.join(posting, ["term", "piece"])
         .where(F.col("_own").isNull() | (F.col("kb_id") != F.col("_own")))
         .groupBy("_ask", "rest", "kb_id")
         .agg(F.sum(F.col("weight") * F.col("kb_weight")).alias("part"))

@@ -9,6 +9,7 @@ travels as a dictionary, and no document is ever regrouped.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
@@ -69,10 +70,7 @@ class TfidfModel:
         if not self.terms:
             empty = F.struct(F.array().cast("array<int>").alias("idx"), F.array().cast("array<double>").alias("w"))
             return df.withColumn(out, empty)
-        counter = CountVectorizerModel.from_vocabulary(
-            list(self.terms), inputCol="_terms", outputCol="_counts"
-        )
-        counted = counter.transform(df.withColumn("_terms", weighted_terms(F.col(text))))
+        counted = self._counter.transform(df.withColumn("_terms", weighted_terms(F.col(text))))
         counts = F.unwrap_udt("_counts")
         raw = F.zip_with(counts["indices"], counts["values"], self._weight)
         unit = bind(
@@ -86,6 +84,10 @@ class TfidfModel:
             "_terms", "_counts"
         )
 
+    @cached_property
+    def _counter(self) -> CountVectorizerModel:
+        return CountVectorizerModel.from_vocabulary(list(self.terms), inputCol="_terms", outputCol="_counts")
+
     def _weight(self, position: Column, count: Column) -> Column:
         tf = (1.0 + F.log(count)) if self.sublinear else count
         return tf * F.get(double_array(self.idf), position)

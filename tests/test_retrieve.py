@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from relaydesk.operators import retrieve
 from relaydesk.operators.logistic import IntentModel
 from relaydesk.operators.reply import nearest_reply
 from relaydesk.operators.retrieve import ReplyIndex, add_exemplars
@@ -83,7 +84,8 @@ def _exact(kb, queries, k, own):
 
 @pytest.mark.parametrize("own", [False, True])
 @pytest.mark.parametrize("limit", [10**9, 0])
-def test_both_ways_find_the_exact_neighbours(spark, limit, own):
+def test_both_ways_find_the_exact_neighbours(spark, limit, own, monkeypatch):
+    monkeypatch.setattr(retrieve, "POSTINGS_PER_PIECE", 7)
     kb = [*_texts(50, 2), "the the the", "the", "the a", "my battery", "my battery", ""]
     # many copies of one message, of which all are answered
     queries = [*kb[:20], *["the is my battery"] * 40, "", "unknown words only"]
