@@ -19,6 +19,15 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def keep_if(row: Column, condition: Callable[[Column], Column]) -> Column:
+    """Generator of the fields of struct ``row`` for rows that meet ``condition``.
+
+    A filter on computed columns is pushed below their projection and computes
+    them again, once per mention. Here the struct is made once and then judged.
+    """
+    return F.inline(F.filter(F.array(row), condition))
+
+
 def clean(text: Column, strip_urls: bool = True) -> Column:
     """Drop mentions and (unless told otherwise) links, squeeze white space. Null gives ''."""
     out = F.regexp_replace(F.coalesce(text, F.lit("")), f"@{WORD}+", "")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relaydesk.functions.regex import SPACE
-from relaydesk.functions.text import clean
+from relaydesk.functions.text import clean, keep_if
 
 BLOCK_TURNS = 4096
 _GAP = r"[ \t\r\x0B\f\x1C-\x1F\x{85}\p{Z}]*"
@@ -41,12 +41,11 @@ def speaker_messages(text: Column, speaker: str, other: str) -> Column:
 
 def parse_threads(threads: DataFrame, conv: str, text: str) -> DataFrame:
     """(conv, inquiry, resolution) of threads that hold both speakers; row-local."""
-    first = threads.select(
-        conv,
+    first = F.struct(
         F.get(speaker_messages(F.col(text), "Customer", "Support"), F.lit(0)).alias("inquiry"),
         F.get(speaker_messages(F.col(text), "Support", "Customer"), F.lit(0)).alias("resolution"),
     )
-    return first.where(F.col("inquiry").isNotNull() & F.col("resolution").isNotNull())
+    return threads.select(conv, keep_if(first, lambda r: r["inquiry"].isNotNull() & r["resolution"].isNotNull()))
 
 
 # ---------------------------------------------------------------- one row per turn
@@ -155,15 +154,18 @@ def mine_replies(
     pairs: DataFrame, conv: str = "conv_id", min_chars: int = 15, limit: int | None = 1500
 ) -> DataFrame:
     """(conv, customer_inquiry, support_resolution): cleaned, long enough, unique by inquiry, first ``limit``."""
-    cleaned = pairs.select(
-        conv,
+    # a length of at least 1 also leaves out empty texts
+    shortest = max(min_chars, 1)
+    cleaned = F.struct(
         clean(F.col("inquiry"), strip_urls=False).alias("customer_inquiry"),
         clean(F.col("resolution"), strip_urls=False).alias("support_resolution"),
     )
-    # a length of at least 1 also leaves out empty texts
-    shortest = max(min_chars, 1)
-    cleaned = cleaned.where(
-        (F.length("customer_inquiry") >= shortest) & (F.length("support_resolution") >= shortest)
+    kept = pairs.select(
+        conv,
+        keep_if(
+            cleaned,
+            lambda r: (F.length(r["customer_inquiry"]) >= shortest) & (F.length(r["support_resolution"]) >= shortest),
+        ),
     )
-    unique = keep_first(cleaned, "customer_inquiry", conv)
+    unique = keep_first(kept, "customer_inquiry", conv)
     return unique if limit is None else unique.orderBy(conv).limit(limit)

@@ -496,18 +496,7 @@ _METRIC_ROWS = " UNION ALL ".join(
 _SUPPORT = SUPPORT.replies
 _HOT = whole("hot")
 
-SQL: dict[str, str] = {
-    "filter_project": "SELECT doc_id, lang, n_chars FROM documents WHERE source = 'src1'",
-    "nonempty_pairs": f"""WITH {PAIRS}, c AS (SELECT conv_id, length({clean('inquiry', False)}) AS len_a,
-        length({clean('resolution', False)}) AS len_b FROM pairs)
-        SELECT * FROM c WHERE len_a >= 100 AND len_b >= 100""",
-    "clean_text": f"""WITH t AS (SELECT 'd' || doc_id AS id, text FROM documents
-        UNION ALL SELECT 'p' || page_id, url || chr(10) || html FROM pages)
-        SELECT id, md5({clean('text')}) AS cleaned_md5, length({clean('text')}) AS cleaned_chars,
-               md5({clean('text', False)}) AS kept_urls_md5 FROM t""",
-    "extract_entities": f"""SELECT doc_id, {DEVICES} AS devices, {OS} AS os_versions,
-        {DEVICES} <> '' AS has_device_info, {OS} <> '' AS has_os_info FROM documents""",
-    "speaker_parse": f"""WITH threads AS (SELECT doc_id, replace(replace(text, ', ', chr(10) || 'Customer: '), '. ',
+THREADS = f"""threads AS (SELECT doc_id, replace(replace(text, ', ', chr(10) || 'Customer: '), '. ',
             chr(10) || 'Support: ') AS thread FROM documents),
         split AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(thread, '^{S}+', ''), '{S}+$', ''), chr(10)) AS ls
             FROM threads),
@@ -522,11 +511,44 @@ SQL: dict[str, str] = {
         runs AS (SELECT *, sum(ch) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM turned),
         said AS (SELECT doc_id, run, any_value(who) AS who,
             string_agg(regexp_replace(line, '^(Customer|Support):{S}*', ''), ' ' ORDER BY pos) AS msg
-            FROM runs WHERE who IS NOT NULL GROUP BY doc_id, run)
+            FROM runs WHERE who IS NOT NULL GROUP BY doc_id, run)"""
+RULE_ROWS = ", ".join(
+    f"({t}, {o}, {q(tier.risk_category)}, {q(rule.reason)})"
+    for t, tier in enumerate(LANGUAGES.tiers)
+    for o, rule in enumerate(tier.rules)
+)
+
+SQL: dict[str, str] = {
+    "filter_project": "SELECT doc_id, lang, n_chars FROM documents WHERE source = 'src1'",
+    "nonempty_pairs": f"""WITH {PAIRS}, c AS (SELECT conv_id, length({clean('inquiry', False)}) AS len_a,
+        length({clean('resolution', False)}) AS len_b FROM pairs)
+        SELECT * FROM c WHERE len_a >= 100 AND len_b >= 100""",
+    "clean_text": f"""WITH t AS (SELECT 'd' || doc_id AS id, text FROM documents
+        UNION ALL SELECT 'p' || page_id, url || chr(10) || html FROM pages)
+        SELECT id, md5({clean('text')}) AS cleaned_md5, length({clean('text')}) AS cleaned_chars,
+               md5({clean('text', False)}) AS kept_urls_md5 FROM t""",
+    "extract_entities": f"""SELECT doc_id, {DEVICES} AS devices, {OS} AS os_versions,
+        {DEVICES} <> '' AS has_device_info, {OS} <> '' AS has_os_info FROM documents""",
+    "kb_from_threads": f"""WITH {THREADS}, pairs AS (SELECT doc_id,
+            arg_min(msg, run) FILTER (who = 'c') AS inquiry, arg_min(msg, run) FILTER (who = 's') AS resolution
+            FROM said GROUP BY doc_id HAVING inquiry IS NOT NULL AND resolution IS NOT NULL),
+        cleaned AS (SELECT doc_id, {clean('inquiry', False)} AS customer_inquiry,
+            {clean('resolution', False)} AS support_resolution FROM pairs)
+        SELECT * FROM cleaned WHERE length(customer_inquiry) >= 15 AND length(support_resolution) >= 15
+        QUALIFY row_number() OVER (PARTITION BY customer_inquiry ORDER BY doc_id) = 1""",
+    "speaker_parse": f"""WITH {THREADS}
         SELECT doc_id, count(*) FILTER (who = 'c') AS n_customer, count(*) FILTER (who = 's') AS n_support,
             {clean("arg_min(msg, run) FILTER (who = 'c')", False)} AS inquiry,
             {clean("arg_min(msg, run) FILTER (who = 's')", False)} AS resolution
         FROM said GROUP BY doc_id HAVING n_customer > 0 AND n_support > 0""",
+    "rule_usage": f"""WITH {DOCS}, {decided('docs', 'doc_id', 'cleaned')},
+        rules(tier, ord, risk_category, reason) AS (VALUES {RULE_ROWS})
+        SELECT tier::BIGINT AS tier, ord::BIGINT AS ord, r.risk_category, reason,
+            (SELECT count(*) FROM decided WHERE stated_reason = reason) AS n FROM rules r""",
+    "preprocess": f"""SELECT doc_id, md5(text) AS raw_md5, md5({clean('text')}) AS cleaned_md5, {DEVICES} AS devices,
+        {OS} <> '' AS has_os_info FROM documents""",
+    "word_tokens": f"""SELECT doc_id, len({words('text')}) AS n_tokens, md5(array_to_string({words('text')}, ' ')) AS tokens_md5
+        FROM documents""",
     "speaker_runs": "WITH "
     + RUNS.replace("FROM conversations WHERE role <> 'system'", "FROM derived").replace(
         "turns AS",
@@ -650,3 +672,4 @@ SQL: dict[str, str] = {
     "cases_csv": f"WITH {LABELLED} SELECT doc_id, md5(text) AS text_md5, lang, true_escalate FROM labelled",
 }
 SQL["topk_exemplars_joined"] = SQL["topk_exemplars"]
+SQL["cases_json"] = SQL["cases_csv"]

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from relaydesk.functions.entities import entities
 from relaydesk.functions.overlap import add_overlap_scores
-from relaydesk.functions.text import clean
+from relaydesk.functions.text import clean, keep_if, tokens
 from relaydesk.operators import agreement as agree
 from relaydesk.operators import conversations as conv
 from relaydesk.operators import metrics, rubric, rules
@@ -24,6 +24,7 @@ from relaydesk.operators.reply import nearest_reply as with_nearest_reply
 from relaydesk.operators.tfidf import TfidfModel, vocabulary
 from relaydesk.packs.languages import LANGUAGES, LABELS
 from relaydesk.packs.support import SUPPORT
+from relaydesk.packs.tables import policy_rule_table
 from relaydesk.plans import evaluate
 from relaydesk.plans.triage import System, add_escalation, add_intent, triage as run_triage
 from relaydesk.session import fresh_dir
@@ -131,6 +132,35 @@ def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def preprocess(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw text, cleaned text and the entities of the raw text in one projection."""
+    docs = documents(spark, folder, "doc_id", "text")
+    out = docs.select(
+        "doc_id",
+        F.col("text").alias("raw_text"),
+        clean(F.col("text")).alias("cleaned_text"),
+        entities(F.col("text"), LANGUAGES.devices, LANGUAGES.os_versions).alias("entities"),
+    )
+    return out.select(
+        "doc_id",
+        F.md5("raw_text").alias("raw_md5"),
+        F.md5("cleaned_text").alias("cleaned_md5"),
+        F.concat_ws("|", "entities.devices").alias("devices"),
+        "entities.has_os_info",
+    )
+
+
+@query
+def word_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and content of the word tokens of every document."""
+    words = tokens(F.col("text"))
+    docs = documents(spark, folder, "doc_id", "text").select("doc_id", words.alias("w"))
+    return docs.select(
+        "doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", " ")).alias("tokens_md5")
+    )
+
+
 @query
 def extract_entities(spark: SparkSession, folder: str) -> DataFrame:
     found = entities(F.col("text"), LANGUAGES.devices, LANGUAGES.os_versions)
@@ -150,21 +180,34 @@ def extract_entities(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- conversations
 
 
-@query
-def speaker_parse(spark: SparkSession, folder: str) -> DataFrame:
+def threads_of_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Threads derived from documents: a comma hands over to the customer, a full stop to support."""
     handed = F.regexp_replace(F.regexp_replace("text", ", ", "\nCustomer: "), r"\. ", "\nSupport: ")
-    threads = documents(spark, folder, "doc_id", "text").select("doc_id", handed.alias("thread"))
+    return documents(spark, folder, "doc_id", "text").select("doc_id", handed.alias("thread"))
+
+
+@query
+def kb_from_threads(spark: SparkSession, folder: str) -> DataFrame:
+    """Replies mined from whole threads; nothing is limited."""
+    pairs = conv.parse_threads(threads_of_documents(spark, folder), "doc_id", "thread")
+    return conv.mine_replies(pairs, "doc_id", limit=None)
+
+
+@query
+def speaker_parse(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages of either side counted, the first of either side cleaned."""
+    threads = threads_of_documents(spark, folder)
     customer = conv.speaker_messages(F.col("thread"), "Customer", "Support")
     support = conv.speaker_messages(F.col("thread"), "Support", "Customer")
-    found = threads.select("doc_id", customer.alias("c"), support.alias("s"))
+    both = F.struct(customer.alias("c"), support.alias("s"))
+    found = threads.select("doc_id", keep_if(both, lambda r: (F.size(r["c"]) > 0) & (F.size(r["s"]) > 0)))
     return found.select(
         "doc_id",
         F.size("c").cast("long").alias("n_customer"),
         F.size("s").cast("long").alias("n_support"),
         clean(F.get("c", F.lit(0)), strip_urls=False).alias("inquiry"),
         clean(F.get("s", F.lit(0)), strip_urls=False).alias("resolution"),
-    ).where((F.col("n_customer") > 0) & (F.col("n_support") > 0))
+    )
 
 
 @query
@@ -335,6 +378,21 @@ def tiered_escalation(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_escalation(add_escalation(_intents(spark, folder), System("proposed", LANGUAGES)), "doc_id")
 
 
+@query
+def rule_usage(spark: SparkSession, folder: str) -> DataFrame:
+    """How many documents every rule of the policy table decided, unused rules included."""
+    decided = add_escalation(_intents(spark, folder), System("proposed", LANGUAGES))
+    used = decided.groupBy(F.col("escalation.stated_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    table = policy_rule_table(spark, LANGUAGES)
+    return table.join(used, "reason", "left").select(
+        F.col("tier").cast("long").alias("tier"),
+        F.col("ord").cast("long").alias("ord"),
+        "risk_category",
+        "reason",
+        F.coalesce("n", F.lit(0)).alias("n"),
+    )
+
+
 # ---------------------------------------------------------------- retrieval and reply
 
 
@@ -665,6 +723,15 @@ def kb_json(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+@query
+def cases_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents written as JSON and read back."""
+    path = fresh_dir(spark, "cases")
+    io.write_json(labelled(spark, folder).select("doc_id", "text", "lang", "true_escalate"), path)
+    back = spark.read.schema("doc_id long, text string, lang string, true_escalate boolean").json(path)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), "lang", "true_escalate")
+
+
 @query
 def cases_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents, line breaks and quotes included, written as CSV and read back."""
