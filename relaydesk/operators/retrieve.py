@@ -66,6 +66,7 @@ class ReplyIndex:
             F.col("customer_inquiry").alias("inquiry"),
             F.col("support_resolution").alias("resolution"),
         ).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.count()  # from here on its true size is known to the optimizer
         model = TfidfModel.fit(kept, "inquiry", max_features, sublinear)
         vectors = model.transform(kept, "inquiry").persist(StorageLevel.MEMORY_AND_DISK)
         size = vectors.agg(

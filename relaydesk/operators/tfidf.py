@@ -1,7 +1,7 @@
 """TF-IDF over unigrams and bigrams.
 
-Fitting is one aggregation by term with map-side combine: what crosses the
-network is bounded by distinct terms per task, not by the number of tokens.
+Fitting a large table counts words, then pairs of frequent words, with map-side
+combine: what crosses the network is bounded by distinct terms per task.
 Weighting is row-local: the vocabulary is capped by ``max_features``, so it
 travels as a dictionary, and no document is ever regrouped.
 """
@@ -11,19 +11,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaydesk.functions.text import bind, weighted_terms
+from relaydesk.functions.text import bind, ngrams, tokens, weighted_terms
+from relaydesk.sources.tables import plan_bytes
 
 MAX_VOCABULARY = 100_000
+MAX_FREQUENT_WORDS = 200_000
+SINGLE_PASS_BYTES = 64 * 1024 * 1024
 
 
-def term_statistics(df: DataFrame, text: str) -> DataFrame:
-    """(term, tf, df) over all rows: corpus frequency and number of rows holding the term."""
+def _statistics(df: DataFrame, terms: Column) -> DataFrame:
+    """(term, tf, df) rows, not yet added up: every occurrence, and every distinct term of a row."""
     marked = bind(
-        weighted_terms(F.col(text)),
+        terms,
         lambda t: F.concat(
             F.transform(t, lambda x: F.struct(x.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
             F.transform(
@@ -31,26 +35,69 @@ def term_statistics(df: DataFrame, text: str) -> DataFrame:
             ),
         ),
     )
-    return (
-        df.select(F.inline(marked))
-        .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
-    )
+    return df.select(F.inline(marked))
 
 
-def vocabulary(df: DataFrame, text: str, max_features: int) -> DataFrame:
-    """(term, tf, df, idf) of the ``max_features`` most frequent terms; ties go to the smaller term."""
-    if not 0 < max_features <= MAX_VOCABULARY:
-        raise ValueError(f"max_features must lie in 1..{MAX_VOCABULARY}")
+def _total(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def _frequent_words(df: DataFrame, text: str, max_features: int) -> DataFrame | None:
+    """(term, tf, df) of the words as frequent as the last of the top ``max_features`` words; kept in memory.
+
+    None for a small table, whose terms are better counted in a single pass.
+    """
+    if plan_bytes(df) <= SINGLE_PASS_BYTES:
+        return None
+    words = _total(_statistics(df, tokens(F.col(text), 2))).persist(StorageLevel.MEMORY_AND_DISK)
+    last = (
+        words.orderBy(F.desc("tf"), "term")
+        .limit(max_features)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("tf"))
+        .first()
+    )
+    # more than max_features rows only through ties on the last place
+    frequent = words if last.n < max_features else words.where(F.col("tf") >= last.tf).persist()
+    if frequent is not words:
+        frequent.count()
+        words.unpersist()
+    return frequent
+
+
+def term_statistics(df: DataFrame, text: str, frequent: DataFrame | None = None) -> DataFrame:
+    """(term, tf, df) of all terms, or of the frequent words and of the pairs that can be as frequent.
+
+    A pair is no more frequent than its rarer word, so only pairs of frequent
+    words are counted. Rare pairs, which are most of a large corpus and do not
+    combine before a shuffle, never leave their task.
+    """
+    if frequent is None:
+        return _total(_statistics(df, weighted_terms(F.col(text))))
+    pairs = _statistics(df, bind(tokens(F.col(text), 2), lambda w: ngrams(w, 2)))
+    if frequent.count() <= MAX_FREQUENT_WORDS:
+        known = F.broadcast(frequent.select(F.col("term").alias("word")))
+        for side in (1, -1):
+            pairs = pairs.join(known, F.substring_index("term", " ", side) == F.col("word"), "left_semi")
+    return frequent.unionByName(_total(pairs))
+
+
+def _top_terms(df: DataFrame, text: str, max_features: int, frequent: DataFrame | None) -> DataFrame:
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
-        term_statistics(df, text)
+        term_statistics(df, text, frequent)
         .orderBy(F.desc("tf"), "term")
         .limit(max_features)
         .withColumn("idf", F.log((1 + rows).cast("double") / (1 + F.col("df"))) + 1.0)
     )
 
 
+def vocabulary(df: DataFrame, text: str, max_features: int) -> DataFrame:
+    """(term, tf, df, idf) of the ``max_features`` most frequent terms; ties go to the smaller term."""
+    if not 0 < max_features <= MAX_VOCABULARY:
+        raise ValueError(f"max_features must lie in 1..{MAX_VOCABULARY}")
+    return _top_terms(df, text, max_features, _frequent_words(df, text, max_features))
+
+
 @dataclass(frozen=True)
 class TfidfModel:
     """A fitted vocabulary: position of a term is its rank in alphabetical order."""
@@ -61,8 +108,14 @@ class TfidfModel:
 
     @classmethod
     def fit(cls, df: DataFrame, text: str, max_features: int, sublinear: bool) -> TfidfModel:
+        if not 0 < max_features <= MAX_VOCABULARY:
+            raise ValueError(f"max_features must lie in 1..{MAX_VOCABULARY}")
+        frequent = _frequent_words(df, text, max_features)
         # at most max_features rows reach the driver
-        found = sorted((r.term, r.idf) for r in vocabulary(df, text, max_features).select("term", "idf").collect())
+        top = _top_terms(df, text, max_features, frequent).select("term", "idf").collect()
+        if frequent is not None:
+            frequent.unpersist()
+        found = sorted((r.term, r.idf) for r in top)
         return cls(tuple(t for t, _ in found), tuple(w for _, w in found), sublinear)
 
     def transform(self, df: DataFrame, text: str, out: str = "vec") -> DataFrame:

@@ -400,6 +400,16 @@ def agreement(source: str, a: str, b: str) -> str:
         round(avg({a}), 6) AS human_mean_score, round(avg({b}), 6) AS judge_mean_score FROM {source}"""
 
 
+def p_value(r: str, n: str) -> str:
+    """Share of the density (1 - u^2)^((n - 4) / 2) of a correlation beyond |r|, by Simpson's rule."""
+    def area(low: str) -> str:
+        u = f"({low} + (1 - {low}) * i / 20000.0::DOUBLE)"
+        return f"""((1 - {low}) * (SELECT sum((CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+            * power(greatest(1 - {u} * {u}, 0), ({n} - 4) / 2.0::DOUBLE)) FROM range(20001) t(i)))"""
+
+    return f"({area(f'abs({r})')} / {area('0.0::DOUBLE')})"
+
+
 # ---------------------------------------------------------------- comparison of variants
 
 _CASE_WORDS = ", ".join(
@@ -663,6 +673,11 @@ SQL: dict[str, str] = {
     "correlations": f"""WITH {RATERS}, {mean_ranks('raters', 'a', 'x')}
         SELECT round(corr(a, x), 6) AS pearson, round((SELECT corr(ra, rb) FROM ranks), 6) AS spearman FROM raters""",
     "agreement_summary": f"WITH {RATERS}, {agreement('raters', 'a', 'x')}",
+    "p_values": f"""WITH {LABELLED}, pv AS (SELECT quality AS a, n_chars / 1000.0::DOUBLE AS x FROM labelled),
+        {mean_ranks('pv', 'a', 'x')},
+        c AS (SELECT count(*) AS n, corr(a, x) AS r, (SELECT corr(ra, rb) FROM ranks) AS rho FROM pv)
+        SELECT n AS sample_size, round({p_value('r', 'n')}, 6) AS pearson_p_value,
+            round({p_value('rho', 'n')}, 6) AS spearman_p_value FROM c""",
     "calibration": f"WITH {RATED}, {agreement('rubric', 'human_rating', 'composite_score')}",
     "system_comparison": VARIANTS
     + "SELECT system, "

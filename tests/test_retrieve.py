@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from relaydesk.operators import retrieve
+from relaydesk.operators import retrieve, tfidf
 from relaydesk.operators.logistic import IntentModel
 from relaydesk.operators.reply import nearest_reply
 from relaydesk.operators.retrieve import ReplyIndex, add_exemplars
@@ -45,10 +45,16 @@ def _texts(n, seed, words=8):
     return [" ".join(rng.choice(VOCAB) for _ in range(rng.randint(0, words))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("sublinear", [True, False])
-def test_tfidf_matches_plain_counts(spark, sublinear):
+@pytest.mark.parametrize("sublinear, way", [(True, "one pass"), (False, "pruned"), (True, "too many words to prune")])
+def test_tfidf_matches_plain_counts(spark, sublinear, way, monkeypatch):
+    if way != "one pass":
+        monkeypatch.setattr(tfidf, "SINGLE_PASS_BYTES", -1)
+    if way == "too many words to prune":
+        monkeypatch.setattr(tfidf, "MAX_FREQUENT_WORDS", -1)
     texts = [*_texts(60, 1), "", "x", "battery battery battery"]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    for features in (1, 12, 10_000):
+        assert list(TfidfModel.fit(df, "t", features, sublinear).terms) == _fit(texts, features, sublinear)[0]
     kept, idf, weigh = _fit(texts, 40, sublinear)
     model = TfidfModel.fit(df, "t", 40, sublinear)
     assert list(model.terms) == kept
