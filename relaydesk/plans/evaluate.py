@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from relaydesk.functions.overlap import SCORES, add_overlap_scores
 from relaydesk.functions.text import ratio
+from relaydesk.operators.agreement import agreement
 from relaydesk.operators.metrics import label_scores, label_sums, macro_scores
 from relaydesk.operators.rubric import STARS, add_rubric, star_counts
+from relaydesk.packs.pack import Pack
 from relaydesk.plans.triage import System, triage
 
+MODES = ("trivial", "simple", "proposed")
 HEADLINE = ("macro_f1", "f1", "false_auto_handle_rate_FAHR", "mean_rougeL", "mean_composite_score")
 
 
@@ -97,3 +100,30 @@ def compare_systems(scored: Sequence[DataFrame], labels: Sequence[str]) -> DataF
         .pivot("metric", list(HEADLINE))
         .agg(F.first("value"))
     )
+
+
+def benchmark(
+    cases: DataFrame,
+    replies: DataFrame | None,
+    pack: Pack,
+    key: str = "id",
+    reply_key: str = "conv_id",
+    own: str | None = None,
+    fit: Sequence[str] = MODES,
+) -> list[DataFrame]:
+    """Scored predictions of every variant on the same cases; ``fit`` names the variants that learn from them."""
+    scored = []
+    for mode in MODES:
+        system = System.create(mode, pack, replies, reply_key)
+        if mode in fit:
+            system = system.fit(cases, "customer_tweet", "true_intent", key)
+        scored.append(scored_predictions(cases, system, mode, own))
+    return scored
+
+
+def calibration_study(
+    rated: DataFrame, message: str, reply: str, gold: str, true_escalate: str, pred_escalate: str, intent: str, rating: str
+) -> DataFrame:
+    """Agreement of the rubric with given ratings of the same replies."""
+    scored = add_rubric(rated, message, reply, gold, true_escalate, pred_escalate, intent)
+    return agreement(scored, F.col(rating), F.col("composite_score"))

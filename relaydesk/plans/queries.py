@@ -670,7 +670,9 @@ def p_values(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def calibration(spark: SparkSession, folder: str) -> DataFrame:
     """Rubric score against a given rating of the same reply."""
-    out = agree.agreement(_scored(spark, folder), F.col("human_rating"), F.col("composite_score"))
+    out = evaluate.calibration_study(
+        _rated(spark, folder), "message", "reply", "gold", "true_escalate", "pred_escalate", "intent", "human_rating"
+    )
     return out.select("sample_size", *[rounded(c) for c in AGREEMENT])
 
 
@@ -679,14 +681,9 @@ def calibration(spark: SparkSession, folder: str) -> DataFrame:
 
 def _variants(spark: SparkSession, folder: str, fitted: bool) -> list[DataFrame]:
     cases = spread(conversation_cases(spark, folder)).persist()
+    fit = evaluate.MODES if fitted else ("trivial",)
     replies = mined(spark, folder).persist()
-    made = []
-    for mode in ("trivial", "simple", "proposed"):
-        system = System.create(mode, LANGUAGES, replies)
-        if fitted or mode == "trivial":
-            system = system.fit(cases, "customer_tweet", "true_intent", "conv_id")
-        made.append(evaluate.scored_predictions(cases, system, mode, own="conv_id"))
-    return made
+    return evaluate.benchmark(cases, replies, LANGUAGES, key="conv_id", own="conv_id", fit=fit)
 
 
 @query

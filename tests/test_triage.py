@@ -1,3 +1,6 @@
+import json
+from functools import reduce
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -5,6 +8,7 @@ from pyspark.sql import types as T
 from relaydesk.operators.retrieve import ReplyIndex
 from relaydesk.packs.support import LABELS, SUPPORT
 from relaydesk.plans import evaluate
+from relaydesk.sources import tables as io
 from relaydesk.plans.triage import RESULT_COLUMNS, System, triage
 from relaydesk.streaming.stream import read_messages, write_triage
 
@@ -130,3 +134,34 @@ def test_metric_table_and_comparison(spark, kb):
     head = {r.system: r for r in evaluate.compare_systems(scored, LABELS).collect()}
     assert set(head) == {"trivial", "simple", "proposed"}
     assert head["proposed"].mean_composite_score == pytest.approx(mean)
+
+
+def test_benchmark_from_files_to_metrics(spark, kb, tmp_path):
+    rows = [
+        {
+            "id": f"C-{i}", "customer_tweet": text, "true_intent": label, "true_escalate": label == "physical_damage_repair",
+            "true_escalation_reason": "", "gold_reference_reply": "DM us for help", "difficulty": "easy", "human_judge_score": 5,
+        }
+        for i, (text, label) in enumerate(TRAINING)
+    ]
+    (tmp_path / "cases.json").write_text(json.dumps(rows))
+    cases = io.read_cases(spark, str(tmp_path / "cases.json"))
+    scored = evaluate.benchmark(cases, kb, SUPPORT)
+    table = evaluate.metric_table(reduce(lambda a, b: a.unionByName(b), scored), LABELS)
+    io.write_metrics(table, str(tmp_path / "metrics"))
+    back = spark.read.parquet(str(tmp_path / "metrics")).where("metric = 'intent_accuracy'")
+    # fitted and scored on the same seven cases, as the published run does
+    assert {r.system: r.value for r in back.collect()} == {
+        "trivial": pytest.approx(1 / 7), "simple": 1.0, "proposed": pytest.approx(1.0),
+    }
+
+
+def test_calibration_study(spark):
+    rows = [
+        ("battery bulging", "Please stop using it. DM us for safety help.", "Stop using it. DM us.", True, True, "x", 5.0),
+        ("battery bulging", "Keep your charger in.", "Stop using it. DM us.", True, False, "x", 1.0),
+        ("how to reset", "Go to settings > reset and tap erase, glad to help.", "Go to settings and reset", False, False, "x", 4.0),
+    ]
+    rated = spark.createDataFrame(rows, "m string, r string, g string, t boolean, p boolean, i string, h double")
+    got = evaluate.calibration_study(rated, "m", "r", "g", "t", "p", "i", "h").first()
+    assert got.sample_size == 3 and got.pearson_correlation > 0.8 and 0 <= got.pearson_p_value <= 1
