@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,6 +81,19 @@ class ReplyIndex:
         """Both the postings and the reply texts are small enough to be handed to every task."""
         return self.postings <= self.max_broadcast and self.text_bytes <= MAX_BROADCAST_TEXT
 
+    @cached_property
+    def shared_postings(self) -> Broadcast:
+        """(ids, start of a term's postings, row of a posting, its weight), rows in order of kb_id."""
+        rows = self.vectors.select("kb_id", "vec.idx", "vec.w").orderBy("kb_id").toPandas()
+        ids = rows["kb_id"].to_numpy("int64")
+        sizes = rows["idx"].map(len).to_numpy("int64")
+        terms = np.concatenate([np.asarray(x, "int32") for x in rows["idx"]])
+        weights = np.concatenate([np.asarray(x, "float64") for x in rows["w"]])
+        order = np.argsort(terms, kind="stable")
+        starts = np.searchsorted(terms[order], np.arange(len(self.model.terms) + 1))
+        place = np.repeat(np.arange(len(ids)), sizes)[order]
+        return self.vectors.sparkSession.sparkContext.broadcast((ids, starts, place, weights[order]))
+
     def with_broadcast_limit(self, postings: int) -> ReplyIndex:
         return replace(self, max_broadcast=postings)
 
@@ -111,15 +125,7 @@ def add_exemplars(
 
 def _scorer(index: ReplyIndex, k: int):
     """Arrow UDF over (idx, w, own id); the postings arrive once per executor."""
-    spark = index.vectors.sparkSession
-    rows = index.vectors.select("kb_id", "vec.idx", "vec.w").orderBy("kb_id").toPandas()
-    ids = rows["kb_id"].to_numpy("int64")
-    sizes = rows["idx"].map(len).to_numpy("int64")
-    terms = np.concatenate([np.asarray(x, "int32") for x in rows["idx"]])
-    weights = np.concatenate([np.asarray(x, "float64") for x in rows["w"]])
-    order = np.argsort(terms, kind="stable")
-    starts = np.searchsorted(terms[order], np.arange(len(index.model.terms) + 1))
-    shared = spark.sparkContext.broadcast((ids, starts, np.repeat(np.arange(len(ids)), sizes)[order], weights[order]))
+    shared = index.shared_postings
 
     @F.pandas_udf(HITS)
     def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
