@@ -71,11 +71,6 @@ def running_ranks(values: DataFrame) -> DataFrame:
     )
 
 
-def _total(pairs: DataFrame, value: Column) -> Column:
-    """Sum over all rows behind the pairs, as a scalar."""
-    return pairs.agg(F.sum(value)).scalar()
-
-
 def _kappa(pairs: DataFrame) -> DataFrame:
     labels = pairs.select("n", F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.sum("n").alias("n"))
     place = running_ranks(labels).select("v", F.col("position").cast("double").alias("p"))
@@ -102,12 +97,13 @@ def _correlation(pairs: DataFrame, x: Column, y: Column, name: str) -> DataFrame
 
 
 def _pearson(pairs: DataFrame) -> DataFrame:
-    rows = _total(pairs, F.col("n"))
-    centred = pairs.select(
-        "n",
-        (F.col("a") - F.try_divide(_total(pairs, F.col("n") * F.col("a")), rows)).alias("x"),
-        (F.col("b") - F.try_divide(_total(pairs, F.col("n") * F.col("b")), rows)).alias("y"),
-    )
+    n = F.col("n")
+    means = pairs.agg(
+        F.struct(
+            F.try_divide(F.sum(n * F.col("a")), F.sum(n)).alias("a"), F.try_divide(F.sum(n * F.col("b")), F.sum(n)).alias("b")
+        )
+    ).scalar()
+    centred = pairs.select("n", (F.col("a") - means["a"]).alias("x"), (F.col("b") - means["b"]).alias("y"))
     return _correlation(centred, F.col("x"), F.col("y"), "r")
 
 
@@ -116,7 +112,7 @@ def _spearman(pairs: DataFrame) -> DataFrame:
         counts = pairs.groupBy(F.col(side).alias("v")).agg(F.sum("n").alias("n"))
         return running_ranks(counts).select(F.col("v").alias(side), F.col("mean_rank").alias(f"rank_{side}"))
 
-    middle = (_total(pairs, F.col("n")) + 1) / 2
+    middle = (pairs.agg(F.sum("n")).scalar() + 1) / 2
     ranked = pairs.join(ranks("a"), "a").join(ranks("b"), "b")
     centred = ranked.select("n", (F.col("rank_a") - middle).alias("x"), (F.col("rank_b") - middle).alias("y"))
     return _correlation(centred, F.col("x"), F.col("y"), "rho")

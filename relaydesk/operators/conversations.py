@@ -52,11 +52,18 @@ def parse_threads(threads: DataFrame, conv: str, text: str) -> DataFrame:
 
 
 def speaker_runs(
-    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+    turns: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    block: int | None = None,
 ) -> DataFrame:
     """(conv, run, role, first_turn, last_turn, n_turns, text): consecutive turns of one role, merged.
 
-    Runs are found inside blocks of BLOCK_TURNS turns. Only one summary row
+    ``turn`` is unique within a conversation. Runs are found inside blocks of
+    BLOCK_TURNS turn numbers; where turns are time stamps, ``block`` should
+    span some thousand of them. Only one summary row
     per block is needed to continue the numbering across block edges, and a
     run is merged inside its blocks before its pieces meet.
     """
@@ -65,7 +72,7 @@ def speaker_runs(
         F.col(turn).alias("turn"),
         F.col(role).alias("role"),
         F.col(text).alias("text"),
-        F.floor(F.col(turn) / BLOCK_TURNS).alias("block"),
+        F.floor(F.col(turn) / (block or BLOCK_TURNS)).alias("block"),
     )
     in_block = Window.partitionBy("conv", "block").orderBy("turn")
     marked = cut.withColumn("before", F.lag("role").over(in_block)).withColumn(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from relaydesk.operators.retrieve import ReplyIndex
 
+# Score above which an escalated reply, and from which an automatic reply, quotes an earlier one.
 ESCALATED_REPLY_ABOVE = 0.40
 AUTO_REPLY_FROM = 0.35
 

@@ -24,6 +24,7 @@ WEIGHTS = {
     "safety_conciseness": 0.10,
 }
 MAX_CHARS = 350
+FEEDBACK = "Grounded response evaluated for %s. Escalation match: %s."
 STARS = (("5_stars", 4.5), ("4_stars", 3.5), ("3_stars", 2.5), ("2_stars", 1.5), ("1_star", None))
 
 
@@ -79,7 +80,7 @@ def add_rubric(
         {
             "composite_score": F.round(total, 2),
             "feedback": F.format_string(
-                "Grounded response evaluated for %s. Escalation match: %s.",
+                FEEDBACK,
                 F.col(intent),
                 F.initcap((truth == guess).cast("string")),
             ),

@@ -18,6 +18,15 @@ from relaydesk.functions.text import bind
 
 DECISION_FIELDS = ("escalate", "decision_label", "stated_reason", "confidence", "risk_category")
 
+# Decision labels, and confidences and categories of decisions outside the tiers.
+ESCALATE, AUTO_HANDLE = "ESCALATE", "AUTO_HANDLE"
+TRIVIAL = (0.5, "none")
+KEYWORD_HIT = (0.70, "keyword_match")
+KEYWORD_MISS = (0.65, "none")
+SAFE = (0.91, "safe_self_service")
+KEYWORD_REASON = "Simple keyword match triggered: "
+MIN_PROBABILITY = 1e-6
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -50,7 +59,7 @@ class IntentDefault:
 def _decision(escalate: bool, reason: Column | str, confidence: float, category: str) -> Column:
     return F.struct(
         F.lit(escalate).alias("escalate"),
-        F.lit("ESCALATE" if escalate else "AUTO_HANDLE").alias("decision_label"),
+        F.lit(ESCALATE if escalate else AUTO_HANDLE).alias("decision_label"),
         (F.lit(reason) if isinstance(reason, str) else reason).alias("stated_reason"),
         F.lit(float(confidence)).alias("confidence"),
         F.lit(category).alias("risk_category"),
@@ -83,7 +92,7 @@ def fuse(probabilities: Column, scores: Column, boost: float, temperature: float
     logits = F.zip_with(
         probabilities,
         scores,
-        lambda p, s: (F.log(F.greatest(p, F.lit(1e-6))) + s * F.lit(boost)) / F.lit(temperature),
+        lambda p, s: (F.log(F.greatest(p, F.lit(MIN_PROBABILITY))) + s * F.lit(boost)) / F.lit(temperature),
     )
     return softmax(logits)
 
@@ -112,7 +121,7 @@ def best_label(probabilities: Column, labels: Sequence[str]) -> Column:
 
 
 def never_escalate() -> Column:
-    return _decision(False, "Default of the trivial variant: always auto-handle, text not inspected.", 0.5, "none")
+    return _decision(False, "Default of the trivial variant: always auto-handle, text not inspected.", *TRIVIAL)
 
 
 def keyword_policy(text: Column, keywords: Sequence[str]) -> Column:
@@ -122,8 +131,8 @@ def keyword_policy(text: Column, keywords: Sequence[str]) -> Column:
         F.when(lowered.rlike(portable(k)), F.lit(k.replace(r"\b", "").replace("(?:ed)?", ""))) for k in keywords
     ]
     hits = F.concat_ws(", ", *named)
-    hit = _decision(True, F.concat(F.lit("Simple keyword match triggered: "), hits, F.lit(".")), 0.70, "keyword_match")
-    miss = _decision(False, "No high-risk keyword found; routed to standard handling.", 0.65, "none")
+    hit = _decision(True, F.concat(F.lit(KEYWORD_REASON), hits, F.lit(".")), *KEYWORD_HIT)
+    miss = _decision(False, "No high-risk keyword found; routed to standard handling.", *KEYWORD_MISS)
     return F.when(hits != "", hit).otherwise(miss)
 
 
@@ -145,5 +154,5 @@ def tiered_policy(
         d = intent_default
         asked = (intent == F.lit(d.intent)) & ~lowered.rlike(portable(d.unless))
         arms.append(F.when(asked, _decision(True, d.reason, d.confidence, d.risk_category)))
-    arms.append(_decision(False, otherwise_reason, 0.91, "safe_self_service"))
+    arms.append(_decision(False, otherwise_reason, *SAFE))
     return F.coalesce(*arms)
