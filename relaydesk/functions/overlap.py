@@ -61,8 +61,8 @@ def _grams(words: Column, n: int) -> Column:
 
 
 def _rouge_n(overlap: Column, hyp: Column, ref: Column, n: int) -> Column:
-    # 2pr/(p+r) with p = o/h and r = o/g is 2o/(h+g)
-    return ratio(2 * overlap, _grams(hyp, n) + _grams(ref, n))
+    p, r = ratio(overlap, _grams(hyp, n)), ratio(overlap, _grams(ref, n))
+    return ratio(2 * p * r, p + r)
 
 
 def _bleu4(overlaps: list[Column], hyp: Column, ref: Column) -> Column:
@@ -86,6 +86,7 @@ def add_overlap_scores(df: DataFrame, hyp: str, ref: str, scores: tuple[str, ...
     if "rouge2" in scores:
         made["rouge2"] = _rouge_n(common[1], h, r, 2)
     if "rougeL" in scores:
+        # the same mean, with the length put in: 2pr/(p+r) = 2l/(h+r)
         made["rougeL"] = ratio(2 * F.col(_COUNTS)[longest], F.size(h) + F.size(r))
     if "bleu4" in scores:
         made["bleu4"] = _bleu4(common, h, r)

@@ -63,9 +63,9 @@ def speaker_runs(
 
     ``turn`` is unique within a conversation. Runs are found inside blocks of
     BLOCK_TURNS turn numbers; where turns are time stamps, ``block`` should
-    span some thousand of them. Only one summary row
-    per block is needed to continue the numbering across block edges, and a
-    run is merged inside its blocks before its pieces meet.
+    span some thousand of them. Only one summary row per block is needed to
+    continue the numbering across block edges, and a run is merged inside its
+    blocks before its pieces meet.
     """
     cut = turns.select(
         F.col(conv).alias("conv"),
