@@ -63,7 +63,7 @@ class ReplyIndex:
     ) -> ReplyIndex:
         """Fit the vocabulary on the inquiries and weigh them; an empty table gives an empty index."""
         kept = replies.select(
-            F.col(key).alias("kb_id"),
+            F.col(key).cast("long").alias("kb_id"),
             F.col("customer_inquiry").alias("inquiry"),
             F.col("support_resolution").alias("resolution"),
         ).persist(StorageLevel.MEMORY_AND_DISK)
@@ -112,7 +112,8 @@ def add_exemplars(
     own_id = F.lit(None).cast("long") if own is None else F.col(own)
     if index.fits_broadcast:
         score = _scorer(index, k)
-        hits = with_vec.withColumn("_hits", score(F.col("_vec.idx"), F.col("_vec.w"), own_id))
+        # as text, since pandas would make floats of whole numbers with gaps
+        hits = with_vec.withColumn("_hits", score(F.col("_vec.idx"), F.col("_vec.w"), own_id.cast("string")))
         pairs = F.arrays_zip(F.col("_hits.kb_id").alias("kb_id"), F.col("_hits.score").alias("score"))
         return hits.withColumn(out, pairs.cast("array<struct<kb_id:bigint,score:double>>")).drop("_vec", "_hits")
     # equal messages are one question; the digest stands for the text
@@ -145,7 +146,7 @@ def _best(idx, w, own, kb_ids, start, place, weight, k: int) -> tuple[list, list
     at = np.concatenate([place[start[t] : start[t + 1]] for t in idx])
     parts = np.concatenate([weight[start[t] : start[t + 1]] * x for t, x in zip(idx, w)])
     scores = np.bincount(at, parts, len(kb_ids))
-    if own is not None and not pd.isna(own):
+    if own is not None:
         scores[kb_ids == int(own)] = 0.0
     hit = np.flatnonzero(scores)
     rounded = np.round(scores[hit], _PLACES)

@@ -114,6 +114,21 @@ def test_top_one_without_a_known_term_is_the_first_reply(spark):
     assert {r.id: r.reply for r in out.collect()} == {1: "answer 1", 2: "answer 0", 3: "answer 0"}
 
 
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_large_ids_and_rows_without_an_own_thread(spark, limit):
+    big = 2**62 + 1
+    replies = spark.createDataFrame(
+        [(str(big), "my battery", "a"), (str(big + 1), "my battery", "b")],
+        "conversation_id string, customer_inquiry string, support_resolution string",
+    )
+    index = ReplyIndex.build(replies, key="conversation_id", max_broadcast=limit)
+    asked = spark.createDataFrame(
+        [(1, big, "my battery"), (2, big + 1, "my battery"), (3, None, "my battery")], "id long, me long, t string"
+    )
+    got = {r.id: [e.kb_id for e in r.exemplars] for r in add_exemplars(asked, "t", index, 2, own="me").collect()}
+    assert got == {1: [big + 1], 2: [big], 3: [big, big + 1]}
+
+
 def test_empty_reply_table_gives_canned_text(spark):
     index = ReplyIndex.build(_replies(spark, ["x"]).limit(0))
     asked = spark.createDataFrame([(1, "my screen")], "id long, t string")
