@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaydesk.llm import byte_bpe, packing, url_filter, warc
-from relaydesk.llm.common import table
+from relaydesk.llm import byte_bpe, packing, quality, toxicity, url_filter, warc
+from relaydesk.llm.common import held_out, table
 from relaydesk.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,15 @@ def query(make: Query) -> Query:
     return make
 
 
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    grammar = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.score_documents(docs, grammar).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 # fixed values of the contract
 URL_RULES = [
     ("org", "/", "allow"),
@@ -89,3 +98,12 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    field = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score_documents(docs, field, threshold=0.3).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
