@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaydesk.llm import byte_bpe, packing, quality, toxicity, url_filter, warc
+from relaydesk.llm import byte_bpe, fingerprints, packing, quality, toxicity, url_filter, warc
 from relaydesk.llm.common import held_out, table
 from relaydesk.session import fresh_dir
 
@@ -107,3 +107,8 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(docs, field, threshold=0.3).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
     )
+
+
+@query
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edit_report(table(spark, folder, "documents").select("doc_id", "text"))
