@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaydesk.llm import byte_bpe, fingerprints, line_dedup, packing, quality, toxicity, url_filter, warc
+from relaydesk.llm import byte_bpe, fingerprints, line_dedup, ngram_join, packing, quality, toxicity, url_filter, warc
 from relaydesk.llm.common import held_out, table
 from relaydesk.session import fresh_dir
 
@@ -118,3 +118,8 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+@query
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_classes(table(spark, folder, "documents"))
