@@ -49,22 +49,34 @@ def sample_key(term: Column, log_weight: Column, i: int) -> Column:
 
 
 def sketches(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
-    """(keys, samples) of every text that has a word; ``texts`` should be partitioned by the first key."""
-    words = texts.select(*keys, F.explode(F.split(F.col(text), WORD_BREAK)).alias("_word"))
-    counted = (
-        words.where(F.col("_word") != "")
-        .select(*keys, F.xxhash64("_word").alias("_term"))
-        .groupBy(*keys, "_term")
-        .agg(F.ln(F.count("*").cast("double")).alias("_log"))
+    """(keys, samples) of every text that has a word, samples as whole numbers of 32 bits.
+
+    If ``texts`` is partitioned by the first key, nothing is shuffled.
+    """
+    words = F.filter(F.split(F.col(text), WORD_BREAK), lambda w: w != "")
+    hashed = texts.select(*keys, F.sort_array(F.transform(words, lambda w: F.xxhash64(w))).alias("_s"))
+    # words are counted in their row: equal hashes follow each other
+    places = F.sequence(F.lit(0), F.size("_s") - 1)
+    starts = F.filter(places, lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    runs = hashed.where(F.size("_s") > 0).select(*keys, "_s", starts.alias("_starts"))
+    terms = F.transform(
+        "_starts",
+        lambda at, i: F.struct(
+            F.get("_s", at).alias("term"),
+            (F.coalesce(F.get("_starts", i + 1), F.size("_s")) - at).cast("double").alias("n"),
+        ),
     )
+    counted = runs.select(*keys, F.explode(terms).alias("_t"))
+    counted = counted.select(*keys, F.col("_t.term").alias("_term"), F.ln("_t.n").alias("_log"))
     least = [F.min(sample_key(F.col("_term"), F.col("_log"), i)).alias(f"_s{i}") for i in range(samples)]
     found = counted.groupBy(*keys).agg(*least)
-    return found.select(*keys, F.array(*(F.col(f"_s{i}") for i in range(samples))).alias("samples"))
+    lower = (F.expr(f"cast((_s{i} & 4294967295) - 2147483648 as int)") for i in range(samples))
+    return found.select(*keys, F.array(*lower).alias("samples"))
 
 
 def digest(samples: Column, n: int = SAMPLES) -> Column:
     """The fingerprint as text: eight hexadecimal digits for each sample; empty for a text without words."""
-    parts = [F.lpad(F.lower(F.hex(samples[i].bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0") for i in range(n)]
+    parts = [F.lpad(F.lower(F.hex(samples[i].cast("long") + 2**31)), 8, "0") for i in range(n)]
     return F.coalesce(F.concat(*parts), F.lit(""))
 
 
