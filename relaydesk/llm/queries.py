@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaydesk.llm import byte_bpe, fingerprints, line_dedup, ngram_join, packing, quality, toxicity, url_filter, warc
+from relaydesk.llm import byte_bpe, cap_dedup, fingerprints, line_dedup, ngram_join, packing, quality, toxicity, url_filter, warc
 from relaydesk.llm.common import held_out, table
 from relaydesk.session import fresh_dir
 
@@ -123,3 +123,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_classes(table(spark, folder, "documents"))
+
+
+@query
+def op9_cap_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return cap_dedup.near_vectors(table(spark, folder, "embeddings"))
