@@ -75,15 +75,14 @@ def speaker_runs(
         F.floor(F.col(turn) / (block or BLOCK_TURNS)).alias("block"),
     )
     in_block = Window.partitionBy("conv", "block").orderBy("turn")
-    marked = cut.withColumn("before", F.lag("role").over(in_block)).withColumn(
+    # a null role is a role of its own
+    changes = (F.row_number().over(in_block) > 1) & ~F.lag("role").over(in_block).eqNullSafe(F.col("role"))
+    marked = cut.withColumn("changes", changes.cast("int")).withColumn(
         "local_run",
-        F.sum((F.col("before") != F.col("role")).cast("int")).over(
-            in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
+        F.sum("changes").over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     )
-    # local_run is null until the first change of the block
     pieces = (
-        marked.groupBy("conv", "block", F.coalesce("local_run", F.lit(0)).alias("local_run"))
+        marked.groupBy("conv", "block", "local_run")
         .agg(
             F.first("role").alias("role"),
             F.min("turn").alias("first_turn"),
@@ -100,11 +99,10 @@ def speaker_runs(
         F.max("local_run").alias("changes"),
     )
     over_blocks = Window.partitionBy("conv").orderBy("block")
-    offsets = summary.withColumn(
-        "starts", (F.coalesce(F.lag("tail").over(over_blocks) != F.col("head"), F.lit(False))).cast("int")
-    ).select(
-        "conv",
-        "block",
+    starts = (F.row_number().over(over_blocks) > 1) & ~F.lag("tail").over(over_blocks).eqNullSafe(F.col("head"))
+    offsets = summary.withColumn("starts", starts.cast("int")).select(
+        F.col("conv").alias("_conv"),
+        F.col("block").alias("_block"),
         (
             F.sum(F.col("starts") + F.col("changes")).over(
                 over_blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -113,7 +111,7 @@ def speaker_runs(
         ).alias("offset"),
     )
     return (
-        pieces.join(offsets, ["conv", "block"])
+        pieces.join(offsets, F.col("conv").eqNullSafe(F.col("_conv")) & F.col("block").eqNullSafe(F.col("_block")))
         .groupBy("conv", (F.col("offset") + F.col("local_run")).alias("run"))
         .agg(
             F.first("role").alias("role"),
@@ -147,20 +145,32 @@ def first_messages(runs: DataFrame, conv: str, customer: str, support: str, *mor
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
     """For every distinct text ``key`` the row that comes first by the unique column ``order``.
 
-    Texts are told apart by their SHA-256, so what is sorted and compared is
-    short however long they are. Copies are combined before the shuffle: a text
-    that makes up a third of the rows costs one row per task, and no window
-    ever holds all its copies. Rows without a text count as copies of each other.
+    Texts are told apart by their SHA-256, and the least ``order`` of each is a
+    hash aggregate of two short columns: a text that makes up a third of the
+    rows costs one row per task. The rows are then fetched by both columns, of
+    which no pair is frequent. Rows without a text count as copies of each
+    other, and a null ``order`` comes after all others.
     """
-    digest = F.unhex(F.sha2(F.col(key), 256)).alias("_digest")
-    first = df.groupBy(digest).agg(F.min_by(F.struct(*df.columns), order).alias("_first"))
-    return first.select("_first.*")
+    keyed = df.withColumn("_digest", F.coalesce(F.unhex(F.sha2(F.col(key), 256)), F.lit(b"")))
+    ordered = keyed.where(F.col(order).isNotNull())
+    # two short columns in a hash aggregate; no text is sorted
+    least = ordered.groupBy("_digest").agg(F.min(order).alias("_least"))
+    first = ordered.join(
+        least.withColumnRenamed("_digest", "_of"), (F.col("_digest") == F.col("_of")) & (F.col(order) == F.col("_least"))
+    )
+    # texts of which no row has an order: these rows alone are compared whole
+    unordered = keyed.where(F.col(order).isNull()).join(least, "_digest", "left_anti")
+    some = unordered.groupBy("_digest").agg(F.min(F.struct(*df.columns)).alias("_first")).select("_first.*")
+    return first.select(*df.columns).unionByName(some)
 
 
 def mine_replies(
-    pairs: DataFrame, conv: str = "conv_id", min_chars: int = 15, limit: int | None = 1500
+    pairs: DataFrame, conv: str = "conv_id", min_chars: int = 15, limit: int | None = None
 ) -> DataFrame:
-    """(conv, customer_inquiry, support_resolution): cleaned, long enough, unique by inquiry, first ``limit``."""
+    """(conv, customer_inquiry, support_resolution): cleaned, long enough, unique by inquiry.
+
+    All of them, or the first ``limit`` by ``conv`` where one is asked for.
+    """
     # a length of at least 1 also leaves out empty texts
     shortest = max(min_chars, 1)
     cleaned = F.struct(

@@ -4,8 +4,7 @@
 to the same neighbours:
 
 * a table of mined replies whose counted postings and text bytes stay below the
-  two limits (the mining limit of 1,500 rows is far below them) goes to every
-  task once, and a message is scored where it lies: no shuffle, so no skew;
+  two limits goes to every task once, and a message is scored where it lies: no shuffle, so no skew;
 * a larger table is joined on terms. For every message the terms that cannot
   lift a reply into the top k are left out first (the MaxScore bound of Turtle
   and Flood 1995), so that frequent terms are not expanded into pairs, and
@@ -116,8 +115,12 @@ def add_exemplars(
         hits = with_vec.withColumn("_hits", score(F.col("_vec.idx"), F.col("_vec.w"), own_id.cast("string")))
         pairs = F.arrays_zip(F.col("_hits.kb_id").alias("kb_id"), F.col("_hits.score").alias("score"))
         return hits.withColumn(out, pairs.cast("array<struct<kb_id:bigint,score:double>>")).drop("_vec", "_hits")
-    # equal messages are one question; the digest stands for the text
-    asked = with_vec.withColumn("_ask", F.unhex(F.sha2(F.concat_ws("\u0001", text, own_id), 256)))
+    # equal messages are one question; the digest stands for the text, and nulls are left out of the JSON
+    question = F.to_json(F.struct(F.col(text).cast("string").alias("text"), own_id.cast("string").alias("own")))
+    # a message without a known word asks nothing; a key of its own keeps such messages from meeting
+    asks = F.coalesce(F.size("_vec.idx") > 0, F.lit(False))
+    alone = F.unhex(F.hex(F.monotonically_increasing_id()))
+    asked = with_vec.withColumn("_ask", F.when(asks, F.unhex(F.sha2(question, 256))).otherwise(alone))
     return _joined(asked.withColumn("_own", own_id), index, k, out).drop("_vec", "_own", "_ask")
 
 
@@ -145,16 +148,20 @@ def _best(idx, w, own, kb_ids, start, place, weight, k: int) -> tuple[list, list
         return [], []
     at = np.concatenate([place[start[t] : start[t + 1]] for t in idx])
     parts = np.concatenate([weight[start[t] : start[t + 1]] * x for t, x in zip(idx, w)])
-    scores = np.bincount(at, parts, len(kb_ids))
+    # only replies that share a term are touched
+    hit, where = np.unique(at, return_inverse=True)
+    scores = np.bincount(where, parts, len(hit))
+    keep = scores != 0
     if own is not None:
-        scores[kb_ids == int(own)] = 0.0
-    hit = np.flatnonzero(scores)
-    rounded = np.round(scores[hit], _PLACES)
+        keep &= kb_ids[hit] != int(own)
+    hit, scores = hit[keep], scores[keep]
+    rounded = np.round(scores, _PLACES)
     if len(hit) > 8 * k:
         floor = np.partition(rounded, len(hit) - k)[len(hit) - k]
-        hit, rounded = hit[rounded >= floor], rounded[rounded >= floor]
-    best = hit[np.argsort(-rounded, kind="stable")[:k]]
-    return kb_ids[best].tolist(), scores[best].tolist()
+        near = rounded >= floor
+        hit, scores, rounded = hit[near], scores[near], rounded[near]
+    best = np.argsort(-rounded, kind="stable")[:k]
+    return kb_ids[hit[best]].tolist(), scores[best].tolist()
 
 
 # ---------------------------------------------------------------- large table: join on terms
@@ -234,7 +241,7 @@ def _dot(left: Column, right: Column) -> Column:
 def _joined(messages: DataFrame, index: ReplyIndex, k: int, out: str) -> DataFrame:
     vectors = index.vectors.select("kb_id", "vec")
     bounds = _term_bounds(vectors, len(index.model.terms), k)
-    asked = messages.select("_ask", "_own", "_vec").dropDuplicates(["_ask"])
+    asked = messages.where(F.size("_vec.idx") > 0).select("_ask", "_own", "_vec").dropDuplicates(["_ask"])
     split = asked.select("_ask", "_own", _split_terms(F.col("_vec"), bounds).alias("_s"))
     # inline of an expression, not of a column: for a column a filter would be inferred and the vectors made again
     needed = split.select("_ask", "_own", "_s.rest", F.inline(F.transform("_s.need", lambda x: x)))

@@ -58,14 +58,14 @@ PAIRS = f"""{RUNS},
               HAVING inquiry IS NOT NULL AND resolution IS NOT NULL)"""
 
 
-def replies(limit: int = 1500) -> str:
+def replies(limit: int | None = None) -> str:
     return f"""{PAIRS},
     cleaned AS (SELECT conv_id, {clean('inquiry', False)} AS customer_inquiry,
                        {clean('resolution', False)} AS support_resolution FROM pairs),
     kb AS (SELECT * FROM cleaned
            WHERE length(customer_inquiry) >= 15 AND length(support_resolution) >= 15
            QUALIFY row_number() OVER (PARTITION BY customer_inquiry ORDER BY conv_id) = 1
-           ORDER BY conv_id LIMIT {limit})"""
+           ORDER BY conv_id{f' LIMIT {limit}' if limit else ''})"""
 
 
 # ---------------------------------------------------------------- tf-idf and retrieval
@@ -624,6 +624,7 @@ SQL: dict[str, str] = {
         FROM decided LEFT JOIN best ON key = mkey""",
     "triage": TRIAGE,
     "stream_triage": TRIAGE,
+    "stream_triage_joined": TRIAGE,
     "triage_simple": f"""WITH {index(3000, False)}, {DOCS}, {ranked('docs', 'doc_id', 'cleaned', False)},
         k AS (SELECT *, 'en' AS intent, 0.25::DOUBLE AS intent_confidence, {keyword('cleaned')} FROM docs)
         SELECT {FLAT}, support_resolution AS reply, 'simple' AS system_mode FROM k

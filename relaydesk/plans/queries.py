@@ -6,6 +6,7 @@ Each takes (spark, folder) and returns a DataFrame with plain columns.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,7 @@ from relaydesk.plans.triage import System, add_escalation, add_intent, triage as
 from relaydesk.session import fresh_dir
 from relaydesk.sources import tables as io
 from relaydesk.sources.tables import read_table, spread
-from relaydesk.streaming.stream import read_messages, write_triage
+from relaydesk.streaming.stream import read_messages, read_triage, write_triage
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -494,17 +495,27 @@ def triage_trivial(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_triage(run_triage(docs, system))
 
 
-@query
-def stream_triage(spark: SparkSession, folder: str) -> DataFrame:
-    """The flagship as a stream over the documents file; the written rows are read back."""
-    system = System.create("proposed", LANGUAGES, mined(spark, folder))
+def _streamed(spark: SparkSession, folder: str, system: System) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
     out, state = fresh_dir(spark, "triaged"), fresh_dir(spark, "triage-state")
     small = io.plan_bytes(read_table(spark, folder, "documents")) < io.SMALL_INPUT_BYTES
     cores = spark.sparkContext.defaultParallelism if small else None
     messages = read_messages(spark, f"{folder}/documents.parquet*", schema, partitions=cores)
     write_triage(messages, system, out, state).awaitTermination()
-    return _flat_triage(spark.read.parquet(out))
+    return _flat_triage(read_triage(spark, out))
+
+
+@query
+def stream_triage(spark: SparkSession, folder: str) -> DataFrame:
+    """The flagship as a stream over the documents file; the written rows are read back."""
+    return _streamed(spark, folder, System.create("proposed", LANGUAGES, mined(spark, folder)))
+
+
+@query
+def stream_triage_joined(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the plan for reply tables that are too large to be handed to every task."""
+    system = System.create("proposed", LANGUAGES, mined(spark, folder))
+    return _streamed(spark, folder, replace(system, index=system.index.with_broadcast_limit(0)))
 
 
 # ---------------------------------------------------------------- metrics
@@ -713,20 +724,28 @@ def system_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def kb_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Mined replies written as JSON and read back."""
+    """Mined replies written as JSON and read back; a path that is missing gives none."""
     path = fresh_dir(spark, "replies")
-    io.write_json(mined(spark, folder), path)
-    schema = "conv_id long, customer_inquiry string, support_resolution string"
-    return spark.read.schema(schema).json(path)
+    io.write_json(mined(spark, folder).withColumnRenamed("conv_id", "conversation_id"), path)
+    back = io.read_replies(spark, path).unionByName(io.read_replies(spark, f"{path}-missing"))
+    return back.withColumn("conversation_id", F.col("conversation_id").cast("long")).withColumnRenamed("conversation_id", "conv_id")
 
 
 @query
 def cases_json(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents written as JSON and read back."""
     path = fresh_dir(spark, "cases")
-    io.write_json(labelled(spark, folder).select("doc_id", "text", "lang", "true_escalate"), path)
-    back = spark.read.schema("doc_id long, text string, lang string, true_escalate boolean").json(path)
-    return back.select("doc_id", F.md5("text").alias("text_md5"), "lang", "true_escalate")
+    cases = labelled(spark, folder).select(
+        F.col("doc_id").alias("id"), F.col("text").alias("customer_tweet"), F.col("lang").alias("true_intent"), "true_escalate"
+    )
+    io.write_json(cases, path)
+    back = io.read_cases(spark, path)
+    return back.select(
+        F.col("id").cast("long").alias("doc_id"),
+        F.md5("customer_tweet").alias("text_md5"),
+        F.col("true_intent").alias("lang"),
+        "true_escalate",
+    )
 
 
 @query

@@ -61,12 +61,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def gather(df: DataFrame, like: DataFrame, partition_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """Few partitions for a small table that is read over and over, as iterative fitting does.
+    """One partition per core, or more, for a small table that is read over and over, as iterative fitting does.
 
     ``like`` is the input by whose size the number is chosen; large tables stay as they are.
     """
     size = plan_bytes(like)
-    return df if size > SMALL_INPUT_BYTES else df.repartition(size // partition_bytes + 1)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if size > SMALL_INPUT_BYTES else df.repartition(max(cores, size // partition_bytes + 1))
 
 
 def read_threads(spark: SparkSession, path: str, company: str | None = None) -> DataFrame:
@@ -75,23 +76,29 @@ def read_threads(spark: SparkSession, path: str, company: str | None = None) ->
     return df if company is None else df.where(F.col("company") == company)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A file holding one JSON array; the file must exist. A list of JSON lines is read by ``spark.read.json``."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON lines, as :func:`write_json` writes them, or files that hold one JSON array each.
+
+    The first character of the first line that isn't blank tells which; a path
+    holds one form. Lines are split among tasks, an array is read by one task.
+    """
+    first = spark.read.text(path).where(F.col("value").rlike(r"\S")).select(F.ltrim("value").alias("value")).head()
+    array = first is not None and first.value.lstrip("\ufeff \t\r").startswith("[")
+    return spark.read.schema(schema).option("multiLine", array).json(path)
 
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
-    return read_json_array(spark, path, CASES)
+    return read_json_table(spark, path, CASES)
 
 
-def read_replies(spark: SparkSession, path: str) -> DataFrame:
+def read_replies(spark: SparkSession, path: str, schema: T.StructType = REPLIES) -> DataFrame:
     """Mined replies; a missing file gives an empty table, on which replies fall back to fixed texts."""
     try:
-        return read_json_array(spark, path, REPLIES)
+        return read_json_table(spark, path, schema)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], REPLIES)
+        return spark.createDataFrame([], schema)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -91,4 +91,31 @@ def test_keep_first_combines_copies_before_the_shuffle(spark):
     kept = conv.keep_first(copies, "text", "id")
     assert [tuple(r) for r in kept.collect()] == [(0, "same", 0)]
     plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and "Window" not in plan
+    assert "partial_min(id" in plan and "Window" not in plan
+
+
+def test_all_replies_are_mined(spark):
+    pairs = spark.range(1700).selectExpr("id AS conv_id", "concat('a question about thing ', id) AS inquiry", "'an answer that is long enough' AS resolution")
+    assert conv.mine_replies(pairs).count() == 1700
+
+
+def test_a_null_role_is_a_role_and_a_null_conversation_is_one(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, None, "b"), (1, 2, "user", "c"), (1, 3, None, "d"), (1, 4, None, "e"), (None, 0, "user", "x"), (None, 1, "user", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for block in (None, 2):
+        out = sorted(((r.conv_id, r.run, r.role, r.text) for r in conv.speaker_runs(turns, block=block).collect()), key=str)
+        expected = [(1, 0, "user", "a"), (1, 1, None, "b"), (1, 2, "user", "c"), (1, 3, None, "d e"), (None, 0, "user", "x y")]
+        assert out == sorted(expected, key=str)
+
+
+def test_first_row_of_a_text_whose_order_is_null(spark):
+    rows = [(None, "a", 1), (None, "a", 2), (3, "b", 3), (None, "b", 4), (2, "b", 5), (7, None, 6), (6, None, 7)]
+    df = spark.createDataFrame(rows, "id long, text string, x long")
+    out = sorted(map(tuple, conv.keep_first(df, "text", "id").collect()), key=str)
+    assert out == sorted([(None, "a", 1), (2, "b", 5), (6, None, 7)], key=str)
+
+
+def test_no_sort_of_texts_in_dedup(spark):
+    df = spark.createDataFrame([(1, "a", 1)], "id long, text string, x long")
+    plan = conv.keep_first(df.where("id is not null"), "text", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "functions=[min(id" in plan and "SortAggregate(key=[_digest" not in plan.split("Union")[0]

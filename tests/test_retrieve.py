@@ -182,3 +182,20 @@ def test_regression_generalises_beyond_the_majority(spark):
     held = model.probabilities(df.where("id >= 120"), "t", model.classes, "p").collect()
     right = sum(model.classes[max(range(3), key=lambda i: r.p[i])] == r.label for r in held)
     assert right / len(held) > 0.8 > 0.5
+
+
+def test_nulls_in_a_question_are_told_apart(spark):
+    replies = spark.createDataFrame(
+        [(55, "the 55 battery drains fast", "answer"), (56, "55 something about wifi", "other")],
+        "conv_id long, customer_inquiry string, support_resolution string",
+    )
+    rows = [(1, "55", None), (2, None, 55), (3, "55", 55), (4, None, None), (5, "", None), (6, "unknown words", 55)]
+    messages = spark.createDataFrame(rows, "id long, text string, own long")
+    index = ReplyIndex.build(replies)
+    ways = [index, index.with_broadcast_limit(0)]
+    got = [
+        {r.id: [h.kb_id for h in r.exemplars] for r in add_exemplars(messages, "text", way, k=3, own="own").collect()}
+        for way in ways
+    ]
+    assert got[0] == got[1]
+    assert got[0][2] == got[0][4] == got[0][5] == got[0][6] == [] and 55 not in got[0][3] and got[0][1]

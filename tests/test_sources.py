@@ -57,6 +57,14 @@ def test_replies_file(spark, tmp_path):
     assert io.read_replies(spark, str(path)).first().support_resolution == "DM us."
 
 
+def test_written_replies_are_read_whole(spark, tmp_path):
+    rows = [(str(i), f"question {i}\n[", "an answer") for i in range(50)]
+    io.write_json(spark.createDataFrame(rows, io.REPLIES).repartition(4), str(tmp_path / "kb"))
+    assert sorted(map(tuple, io.read_replies(spark, str(tmp_path / "kb")).collect())) == sorted(rows)
+    io.write_json(spark.createDataFrame(CASES, io.CASES), str(tmp_path / "cases"))
+    assert sorted(map(tuple, io.read_cases(spark, str(tmp_path / "cases")).collect())) == CASES
+
+
 def test_threads_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "threads")
     spark.createDataFrame([("1", "x", "Customer: a"), ("2", "y", "Customer: b")], io.THREADS).write.parquet(path)
