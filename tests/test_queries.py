@@ -1,4 +1,5 @@
 import os
+import re
 
 import pandas as pd
 import pytest
@@ -19,7 +20,9 @@ def con():
 
 
 def test_every_query_has_sql_but_the_named_ones():
-    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
+    # queries of the separate subpackage are tested beside it
+    own = {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)}
+    assert own - set(SQL) == WITHOUT_SQL
     assert set(SQL) <= set(QUERIES)
 
 
