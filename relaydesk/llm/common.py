@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from relaydesk.session import fresh_dir
 
 SALTS = 16
+# a written table with at most so many narrow rows is broadcast, after counting them
+BROADCAST_ROWS = 400_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,6 +62,27 @@ def salted(rows: DataFrame, dim: DataFrame, key: str, spread: Column, how: str =
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
+def meet(rows: DataFrame, dim: DataFrame, key: str, spread: Column, how: str = "inner") -> DataFrame:
+    """As :func:`salted`, for a narrow ``dim`` that is written: by broadcast if it has few rows."""
+    if dim.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(dim), key, how)
+    return salted(rows, dim, key, spread, how)
+
+
+def spread_join(rows: DataFrame, dim: DataFrame, key: str, spread: Column, per_task: int = 1000) -> DataFrame:
+    """Inner join of narrow ``rows`` (a written table) with a wide ``dim``, one row for each ``key``.
+
+    Few rows are broadcast, so that ``dim`` stays where it is. Else a row of
+    ``dim`` is repeated only where its key has more than ``per_task`` rows.
+    """
+    if rows.count() <= BROADCAST_ROWS:
+        return dim.join(F.broadcast(rows), key)
+    parts = written(rows.groupBy(key).agg(F.ceil(F.count("*") / per_task).cast("int").alias("_parts")), "parts")
+    left = meet(rows, parts, key, spread).withColumn("_part", F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int"))
+    right = meet(dim, parts, key, F.col(key)).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return left.drop("_parts").join(right.drop("_parts"), [key, "_part"]).drop("_part")
+
+
 def per_process(name: str, make: Callable[[], Any]) -> Any:
     """A value kept as long as the Python worker lives, so later tasks of the worker find it made."""
     store = sys.modules.setdefault("_relaydesk_worker", types.ModuleType("_relaydesk_worker")).__dict__

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaydesk.llm.common import salted, written
+from relaydesk.llm.common import meet, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -16,7 +16,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     node and the round; nodes joined together become one, and links inside it
     vanish. So a constant part of the nodes goes in each round, also on long
     chains. Minima are taken in part before shuffling and joins on the ends of
-    links are salted, so a node with very many links is no hot key. Null ends
+    links are salted or broadcast, so a node with very many links is no hot key. Null ends
     and links of a node with itself are ignored.
     """
     spark = links.sparkSession
@@ -33,9 +33,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         step = written(near.select(F.col("u").alias("node"), F.when(ahead, F.col("v")).otherwise(F.col("u")).alias("to")), "step")
         maps.append(step)
         moved = step.where("node <> to")
-        half = salted(edges.withColumnRenamed("u", "node"), moved, "node", F.col("v"))
+        half = meet(edges.withColumnRenamed("u", "node"), moved, "node", F.col("v"), "left")
         half = half.select(F.coalesce("to", "node").alias("u"), F.col("v").alias("node"))
-        whole = salted(half, moved, "node", F.col("u"))
+        whole = meet(half, moved, "node", F.col("u"), "left")
         whole = whole.select("u", F.coalesce("to", "node").alias("v")).where("u <> v")
         edges = written(whole.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
     if not maps:
@@ -44,7 +44,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for step in reversed(maps[:-1]):
         # where a node went in this round, and where that one ended
         ends = roots.select(F.col("node").alias("to"), F.col("to").alias("end"))
-        roots = salted(step, ends, "to", F.col("node")).select("node", F.coalesce("end", "to").alias("to"))
+        roots = meet(step, ends, "to", F.col("node"), "left").select("node", F.coalesce("end", "to").alias("to"))
         roots = written(roots, "roots")
-    least = roots.groupBy("to").agg(F.min("node").alias("component"))
-    return salted(roots, least, "to", F.col("node"), "inner").select("node", "component")
+    least = written(roots.groupBy("to").agg(F.min("node").alias("component")), "least")
+    return meet(roots, least, "to", F.col("node")).select("node", "component")
