@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaydesk.llm.common import salted, written
+from relaydesk.llm.common import meet, salted, spread_join, written
 from relaydesk.llm.components import components
 
 WORDS = 5
@@ -37,8 +37,8 @@ BATCH = 128
 FREQUENT = 1_000_000
 COUNTED_AT_ONCE = 2_000_000
 BLOCK = 512
+LONG = 0.2  # the greater, the fewer lists are probed instead of merged
 BASE = 0xD6E8FEB86659FD93  # odd
-BROADCAST_ROWS = 400_000
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -155,13 +155,13 @@ def _survey(words: int):
 
 
 def _firsts(words: int, percent: int, frequent):
-    """Rows (class, tokens): of every document the shingles that a linked class must share one of."""
+    """Rows (class, n, tokens): of every document the shingles that a linked class must share one of."""
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         known, times = frequent.value
         for part in _parts(batches):
-            names, tokens = [], []
+            names, sizes, tokens = [], [], []
             for shingles in shingler.sets(part.column(0).to_pylist()):
                 if not len(shingles):
                     continue
@@ -173,11 +173,17 @@ def _firsts(words: int, percent: int, frequent):
                 else:
                     sorted_set = shingles
                 names.append(class_of(sorted_set))
+                sizes.append(len(sorted_set))
                 tokens.append(shingles[:need].view(np.int64))
             ends = np.cumsum([0] + [len(t) for t in tokens]).astype(np.int32)
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["class", "tokens"]
+                [
+                    pa.array(names, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                ],
+                ["class", "n", "tokens"],
             )
 
     return firsts
@@ -214,18 +220,26 @@ class Index:
         self.end = np.append(self.start[1:], len(flat))
 
     def linked(self, query: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-        """Places of all sets whose similarity with ``query`` reaches ``percent``."""
+        """Places of all sets whose similarity with ``query``, itself one of the sets, reaches ``percent``.
+
+        Empty if that is ``query`` alone.
+        """
         at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
         at = at[self.tokens[at] == query]
         need = least_overlap(len(query), percent)
         if len(at) < need:
             return np.zeros(0, np.int64)
         length = self.end[at] - self.start[at]
+        if (length > 1).sum() < need:  # too few are shared at all; one that is equal would share every one
+            return np.zeros(0, np.int64)
         at = at[np.argsort(-length, kind="stable")]
         # the longest lists, but fewer than the overlap, are probed
-        n_long = int(min(need - 1, need / (0.01 * np.log2(max(2, length.max())) + 1)))
+        n_long = int(min(need - 1, need / (LONG * np.log2(max(2, length.max())) + 1)))
         long, short = at[:n_long], at[n_long:]
-        merged = np.concatenate([self.owner[self.start[t] : self.end[t]] for t in short])
+        # all places of the short lists at once, merged by counting
+        sizes = self.end[short] - self.start[short]
+        ends = np.cumsum(sizes)
+        merged = self.owner[np.arange(ends[-1]) + np.repeat(self.start[short] - (ends - sizes), sizes)]
         count = np.bincount(merged, minlength=len(self.sizes))
         places = np.flatnonzero(count >= need - n_long)
         found = count[places]
@@ -275,31 +289,31 @@ def _forest(percent: int):
     return search
 
 
-def _meet(rows: DataFrame, dim: DataFrame, key: str, spread: Column, how: str = "inner") -> DataFrame:
-    """Join with a written table of one row for each key, by broadcast if it has few rows."""
-    if dim.count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(dim), key, how)
-    return salted(rows, dim, key, spread, how)
-
-
 def class_links(docs: DataFrame, members_of: DataFrame, percent: int, words: int, frequent) -> DataFrame:
     """(a, b): links that connect what is linked. ``docs`` has key and text, ``members_of`` key, n and class."""
     spark = docs.sparkSession
     none = spark.createDataFrame([], "a long, b long")
-    firsts = docs.select("text").mapInArrow(_firsts(words, percent, frequent), "class long, tokens array<long>")
+    firsts = docs.select("text").mapInArrow(_firsts(words, percent, frequent), "class long, n long, tokens array<long>")
     firsts = written(firsts, "first-shingles")
-    rows = firsts.select("class", F.explode("tokens").alias("token"))
+    rows = firsts.select("class", "n", F.explode("tokens").alias("token"))
     shared = rows.groupBy("token").agg(F.min("class").alias("_a"), F.max("class").alias("_b")).where("_a <> _b")
-    shared = written(shared.select("token", F.col("_a").alias("first")), "shared")
+    shared = written(shared.select("token"), "shared")
     if shared.isEmpty():
         return none
-    members = written(_meet(rows, shared, "token", F.col("class")).distinct(), "members")
-
-    # whole sets of these classes, from the document with the least key of each
+    members = meet(rows, shared, "token", F.col("class")).distinct()
+    # linked sets differ in size by the similarity at most, which is a step of this scale
+    step = F.floor(F.ln(F.col("n").cast("double")) / F.lit(1.0001 * np.log(100 / percent)))
+    members = members.withColumn("_step", F.explode(F.array(step, step + 1)))
+    members = written(members.select(F.xxhash64("token", "_step").alias("token"), "class"), "members")
+    shared = members.groupBy("token").agg(F.min("class").alias("first"), F.max("class").alias("_b"))
+    shared = written(shared.where("first <> _b").drop("_b"), "shared")
+    members = written(meet(members, shared, "token", F.col("class")), "members")
+
+    # whole sets of these classes, from the document with the least key of each; a repeated key may give one twice
     wanted = members.select("class").distinct()
     holders = members_of.groupBy("class").agg(F.min("key").alias("key")).join(wanted, "class").select("key")
-    texts = _meet(docs, written(holders, "holders"), "key", F.col("key"))
-    sets = texts.select("text").mapInArrow(_contents(words), "class long, set binary").dropDuplicates(["class"])
+    texts = meet(docs, written(holders, "holders"), "key", F.col("key"))
+    sets = texts.select("text").mapInArrow(_contents(words), "class long, set binary")
     sets = written(sets, "sets")
 
     # each class with the first class of each shingle it shares, in blocks that all hold the first class
@@ -313,7 +327,7 @@ def class_links(docs: DataFrame, members_of: DataFrame, percent: int, words: int
 
     # shingles whose classes are not in one component yet
     parts = written(components(found).select(F.col("node").alias("class"), F.col("component").alias("part")), "parts")
-    placed = _meet(members.select("token", "class"), parts, "class", F.col("token"), "left")
+    placed = meet(members.select("token", "class"), parts, "class", F.col("token"), "left")
     placed = written(placed.withColumn("part", F.coalesce("part", "class")), "placed")
     split = (
         placed.groupBy("token")
@@ -324,7 +338,8 @@ def class_links(docs: DataFrame, members_of: DataFrame, percent: int, words: int
             F.bit_xor(F.xxhash64("class")).alias("_same"),
             F.bit_xor(F.xxhash64("class", F.lit(1))).alias("_same2"),
         )
-        .where("_a <> _b")
+        # two classes have been searched already, as one is the other's first
+        .where("_n > 2 AND _a <> _b")
         # shingles that the same classes share make one group
         .groupBy("_n", "_same", "_same2")
         .agg(F.min("token").alias("token"))
@@ -333,7 +348,7 @@ def class_links(docs: DataFrame, members_of: DataFrame, percent: int, words: int
     split = written(split, "split")
     if split.isEmpty():
         return found
-    dealt = _meet(placed, split, "token", F.col("class")).withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")).cast("int"))
+    dealt = meet(placed, split, "token", F.col("class")).withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")).cast("int"))
     # a block meets every other block of its shingle once
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     dealt = dealt.select("token", "class", "part", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"))
@@ -343,7 +358,7 @@ def class_links(docs: DataFrame, members_of: DataFrame, percent: int, words: int
 
 def _with_sets(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """A class may be in very many groups, so its rows are dealt out."""
-    return salted(groups, sets, "class", F.struct(*(c for c in groups.columns if c != "class")), "inner")
+    return spread_join(written(groups, "groups"), sets, "class", F.struct(*(c for c in groups.columns if c != "class")))
 
 
 def near_classes(
@@ -371,7 +386,7 @@ def near_classes(
     members = surveyed.where("token is null").select("key", "n", "class")
     links = class_links(rows.where("key is not null"), members.where("class is not null and key is not null"), percent, words, frequent)
     parts = components(links).select(F.col("node").alias("class"), F.col("component").alias("part"))
-    placed = _meet(members, written(parts, "parts"), "class", F.col("key"), "left")
+    placed = meet(members, written(parts, "parts"), "class", F.col("key"), "left")
     placed = written(placed.select("key", "n", F.coalesce("part", "class").alias("part")), "placed")
     least = placed.where("part is not null").groupBy("part").agg(F.min("key").alias("least"))
     return salted(placed, least, "part", F.col("key")).select(

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from relaydesk.llm import cap_dedup, fingerprints, line_dedup, ngram_join
+from relaydesk.llm import cap_dedup, common, fingerprints, line_dedup, ngram_join
 from relaydesk.llm.components import components
 
 
@@ -27,7 +27,9 @@ def joined(pairs, nodes):
     return {n: find(n) for n in nodes}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("broadcast", [400_000, 0])
+def test_components(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
     draw = random.Random(4)
     pairs = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(200)] + [(-5, 7000), (8, 8)]
     pairs += [(draw.randint(2000, 2400), draw.randint(2000, 2400)) for _ in range(250)]
@@ -65,7 +67,7 @@ def shingles(text):
 @pytest.mark.parametrize("block,broadcast", [(512, 400_000), (3, 0)])
 def test_ngram_join_is_exact(spark, monkeypatch, block, broadcast):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
     texts = [None, "", " \t\n", "one", "ONE", "one two", "a b c d e", "A b\tc d  e", "É b c d e", "é b c d e", "w " * 20_000, *near_texts(1)]
     rows = [(3 * i - 5, t, "x") for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_shingles string").repartition(3)
@@ -95,7 +97,7 @@ def test_index_finds_what_brute_force_finds():
     index = ngram_join.Index(sets)
     for i, query in enumerate(sets):
         expected = [j for j, s in enumerate(sets) if 100 * len(np.intersect1d(query, s)) >= 75 * len(np.union1d(query, s))]
-        assert index.linked(query).tolist() == expected and i in expected
+        assert index.linked(query).tolist() in ([expected] if len(expected) > 1 else [[], [i]])
 
 
 LINE_TEXTS = [
