@@ -13,8 +13,9 @@ pairs.
 
 First each class is searched together with the first class of each shingle it
 shares. Shingles whose classes are in one component by then need no more, so a
-large group of near copies costs little. The classes of each other shingle are
-then searched in full, in blocks, so no task has more than two of them.
+large group of near copies costs little. The classes of the other shingles, put
+together by their first class, are then searched in full, in blocks, so no task
+has more than two of them.
 """
 
 from __future__ import annotations
@@ -327,32 +328,22 @@ def class_links(docs: DataFrame, members_of: DataFrame, percent: int, words: int
 
     # shingles whose classes are not in one component yet
     parts = written(components(found).select(F.col("node").alias("class"), F.col("component").alias("part")), "parts")
-    placed = meet(members.select("token", "class"), parts, "class", F.col("token"), "left")
+    placed = meet(members.select("token", "first", "class"), parts, "class", F.col("token"), "left")
     placed = written(placed.withColumn("part", F.coalesce("part", "class")), "placed")
-    split = (
-        placed.groupBy("token")
-        .agg(
-            F.min("part").alias("_a"),
-            F.max("part").alias("_b"),
-            F.count("*").alias("_n"),
-            F.bit_xor(F.xxhash64("class")).alias("_same"),
-            F.bit_xor(F.xxhash64("class", F.lit(1))).alias("_same2"),
-        )
-        # two classes have been searched already, as one is the other's first
-        .where("_n > 2 AND _a <> _b")
-        # shingles that the same classes share make one group
-        .groupBy("_n", "_same", "_same2")
-        .agg(F.min("token").alias("token"))
-        .select("token", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
-    )
-    split = written(split, "split")
+    split = placed.groupBy("token").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_n"))
+    # two classes have been searched already, as one is the other's first
+    split = written(split.where("_n > 2 AND _a <> _b").select("token"), "split")
     if split.isEmpty():
         return found
-    dealt = meet(placed, split, "token", F.col("class")).withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")).cast("int"))
-    # a block meets every other block of its shingle once
+    # shingles with the same first class make one group, as those of a passage do
+    wide = meet(placed, split, "token", F.col("class")).select("first", "class", "part").distinct()
+    wide = written(wide, "wide")
+    sizes = written(wide.groupBy("first").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks")), "sizes")
+    dealt = meet(wide, sizes, "first", F.col("class")).withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")).cast("int"))
+    # a block meets every other block of its group once
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    dealt = dealt.select("token", "class", "part", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"))
-    more = _with_sets(dealt, sets).groupBy("token", "_i", "_j").applyInArrow(_forest(percent), "a long, b long")
+    dealt = dealt.select("first", "class", "part", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"))
+    more = _with_sets(dealt, sets).groupBy("first", "_i", "_j").applyInArrow(_forest(percent), "a long, b long")
     return found.unionByName(written(more, "found"))
 
 
