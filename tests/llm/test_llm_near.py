@@ -148,6 +148,38 @@ def test_line_dedup_keeps_one_line_of_every_component(spark):
     assert len(kept) <= len(exact) + 0.02 * len(lines)
 
 
+def word_cut(text):
+    words = text.split(" ")
+    pieces = words if len(text) <= line_dedup.LONG_WORD * len(words) else list(text)
+    return {(p, pieces[i + 1][: line_dedup.AHEAD]) for i, p in enumerate(pieces[:-1])} or {(pieces[0],)}
+
+
+def kept_and_exact(spark, lines, cut, **how):
+    """Lines that the operator keeps, and those that brute force keeps."""
+    sets = [cut(x) for x in lines]
+    links = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in line_dedup.dedup_lines(docs, **how).collect() if not r.n_dropped}
+    return kept, set(joined(links, range(len(sets))).values())
+
+
+def short_lines(seed, least, most):
+    """Lines of a few words and copies of them with a letter changed or the end cut."""
+    draw, out = random.Random(seed), []
+    for _ in range(60):
+        line = " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 9))) for _ in range(draw.randint(least, most)))
+        out.append(line)
+        for _ in range(draw.randint(0, 4)):
+            at = draw.randrange(len(line))
+            out.append(draw.choice([line[:at] + "z" + line[at + 1 :], line[:-1] + "z", line[:-1]]).strip())
+    return out
+
+
+def test_short_lines_are_compared(spark):
+    kept, exact = kept_and_exact(spark, [*short_lines(3, 2, 8), "Read more below", "Read more belong"], word_cut)
+    assert kept == exact
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a line\nb"), (7, "a line"), (7, "a line"), (8, "a line")], "doc_id long, text string")
     out = sorted(((r.doc_id, r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()), key=str)
