@@ -180,6 +180,20 @@ def test_short_lines_are_compared(spark):
     assert kept == exact
 
 
+@pytest.mark.parametrize("n", [3, 7, 8, 10, 14, 20, 28, 35, 36, 47, 60, 100, 400])
+def test_recall_of_line_keys(n):
+    """Of pairs at the least similarity, whose sets have ``n`` shingles."""
+    draw = np.random.default_rng(n)
+    union = max(u for u in range(n, 2 * n + 1) if 4 * (2 * n - u) >= 3 * u)
+    found = 0
+    for _ in range(8):
+        rows = draw.integers(0, 2**64, (250, union), np.uint64)
+        a = line_dedup.line_keys(list(rows[:, :n]), 75.0)
+        b = line_dedup.line_keys(list(rows[:, union - n :]), 75.0)
+        found += sum(len(np.intersect1d(x, y)) > 0 for x, y in zip(a, b))
+    assert found >= 0.99 * 2000
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a line\nb"), (7, "a line"), (7, "a line"), (8, "a line")], "doc_id long, text string")
     out = sorted(((r.doc_id, r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()), key=str)
