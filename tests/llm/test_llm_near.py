@@ -194,6 +194,20 @@ def test_recall_of_line_keys(n):
     assert found >= 0.99 * 2000
 
 
+@pytest.mark.parametrize("block,broadcast", [(512, 400_000), (2, 0)])
+def test_a_crowded_key_is_searched_in_full(spark, monkeypatch, block, broadcast):
+    """Lines that are alike but unlike the first and the longest line of the only key they share."""
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
+    sets = {c: set(range(100 * c, 100 * c + 40)) for c in range(1, 9)} | {9: set(range(5000, 5400))}
+    sets |= {10: sets[3] ^ {300}, 11: sets[7] ^ {700, 1}, 12: sets[7] ^ {700, 1, 701}, -4: set(range(6000, 6040))}
+    rows = spark.createDataFrame([(c, [77] if c > 0 else [77, 78]) for c in sets], "class long, keys array<long>")
+    content = spark.createDataFrame([(c, np.array(sorted(s), np.uint64).tobytes()) for c, s in sets.items()], "class long, set binary")
+    out = {(r.a, r.b) for r in line_dedup.links(rows, lambda wanted: content, 75.0).collect()}
+    parts = joined(out, sets)
+    assert parts == {c: {10: 3, 11: 7, 12: 7}.get(c, c) for c in sets}
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a line\nb"), (7, "a line"), (7, "a line"), (8, "a line")], "doc_id long, text string")
     out = sorted(((r.doc_id, r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()), key=str)
