@@ -117,7 +117,8 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_dropped")
+    out = line_dedup.dedup_lines(docs, characters=line_dedup.CHARACTERS)
+    return out.select("doc_id", "text", "n_lines", "n_dropped")
 
 
 @query

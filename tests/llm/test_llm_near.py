@@ -202,12 +202,30 @@ def test_a_crowded_key_is_searched_in_full(spark, monkeypatch, block, broadcast)
     sets = {c: set(range(100 * c, 100 * c + 40)) for c in range(1, 9)} | {9: set(range(5000, 5400))}
     sets |= {10: sets[3] ^ {300}, 11: sets[7] ^ {700, 1}, 12: sets[7] ^ {700, 1, 701}, -4: set(range(6000, 6040))}
     rows = spark.createDataFrame([(c, [77] if c > 0 else [77, 78]) for c in sets], "class long, keys array<long>")
-    content = spark.createDataFrame([(c, np.array(sorted(s), np.uint64).tobytes()) for c, s in sets.items()], "class long, set binary")
-    out = {(r.a, r.b) for r in line_dedup.links(rows, lambda wanted: content, 75.0).collect()}
+    content = spark.createDataFrame([(c, sorted(s)) for c, s in sets.items()], "class long, content array<long>")
+    out = {(r.a, r.b) for r in line_dedup.links(rows, lambda wanted: content, None, 75.0).collect()}
     parts = joined(out, sets)
     assert parts == {c: {10: 3, 11: 7, 12: 7}.get(c, c) for c in sets}
 
 
+@pytest.mark.parametrize("words", [(2, 8), (9, 14), (15, 40)])
+def test_line_dedup_by_every_character(spark, words):
+    k = line_dedup.CHARACTERS
+    cut = lambda text: {text[i : i + k] for i in range(max(1, len(text) - k + 1))}
+    lines = short_lines(words[0], *words)
+    kept, exact = kept_and_exact(spark, [*lines, "abc", "abd", "中文没有空格的一行文字", "中文没有空格的一行文孛"], cut, characters=k)
+    assert kept == exact
+
+
+def test_query_compares_every_character(spark, tmp_path):
+    from relaydesk.llm import queries
+
+    line = "these twelve words make one ordinary line with a typo further inside"
+    texts = [line, line.replace("ordinary", "orxinary"), "another line"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id: r.n_dropped for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()} == {0: 0, 1: 1, 2: 0}
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a line\nb"), (7, "a line"), (7, "a line"), (8, "a line")], "doc_id long, text string")
     out = sorted(((r.doc_id, r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()), key=str)
