@@ -52,11 +52,17 @@ class WordTokenizer:
 
     White space ends every piece, so the ids of a text are those of its words.
     A word that was not seen is normalized and split as the tokenizer does and
-    each piece is given to the tokenizer's model.
+    each piece is given to the tokenizer's model. With ``added`` a text that holds
+    a literal of the definition's added tokens is left to the tokenizer itself,
+    which gives the token's id for it; without, literals are words like others.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, added: bool = False):
         self.tokenizer = Tokenizer.from_str(definition)
+        tokens = self.tokenizer.get_added_tokens_decoder().values() if added else []
+        # those that are normalized first are looked for in the normalized text
+        self.normalized = any(t.normalized for t in tokens)
+        self.added = regex.compile("|".join(regex.escape(t.content) for t in tokens)) if tokens else None
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.white = regex.compile(r"\P{White_Space}+")
         self.odd_space = regex.compile("[\x1c-\x1f]")  # str.split takes these for white space
@@ -78,6 +84,8 @@ class WordTokenizer:
         return ids
 
     def encode(self, text: str) -> bytes:
+        if self.added and (self.normalized or self.added.search(text)):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self.by_word) > REMEMBERED:
             self.by_word.clear()
             self.by_piece.clear()
@@ -179,11 +187,14 @@ def pack(
     capacity: int = 2048,
     end_id: int = 1,
     window: int = WINDOW,
+    added: bool = False,
 ) -> DataFrame:
     """Pieces of sequences: key, start, length, ids, doc_tokens, sequence_id, offset.
 
     ``tokenizer`` is the text of a tokenizer file (its size is that of the
     vocabulary) and no special tokens are added but ``end_id`` after each row.
+    With ``added`` the literals of added tokens in a text give their ids, as the
+    tokenizers library does it; without, they are split like other text.
     ``ids`` holds four bytes for each id, little-endian. ``capacity`` is a power
     of two. A null text is an empty one, a single ``end_id``. Every row is
     packed for itself: repeated rows and repeated or null keys give pieces of
@@ -205,10 +216,10 @@ def pack(
         ]
     )
     definition = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    name = f"words-{hashlib.sha256(tokenizer.encode()).hexdigest()}"
+    name = f"words-{added}-{hashlib.sha256(tokenizer.encode()).hexdigest()}"
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = per_process(name, lambda: WordTokenizer(definition.value))
+        words = per_process(name, lambda: WordTokenizer(definition.value, added))
         packer, first = Packer(capacity, window), TaskContext.get().partitionId() << 33
         tail = int(end_id).to_bytes(4, "little")
         keys: dict[int, tuple] = {}  # of the documents in the window

@@ -94,7 +94,7 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as definition:
-        pieces = packing.pack(table(spark, folder, "documents"), definition.read(), capacity=2048, end_id=1)
+        pieces = packing.pack(table(spark, folder, "documents"), definition.read(), capacity=2048, end_id=1, added=True)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

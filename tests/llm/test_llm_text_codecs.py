@@ -75,6 +75,30 @@ def test_words_encode_as_the_whole_text():
             assert ids == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+ADDED = ["a <|endoftext|> b", "x<|startoftext|>y", "<|endoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "it's<|endoftext|><|startoftext|>  É\n"]
+
+
+def test_added_tokens_are_those_of_the_library():
+    words, whole = packing.WordTokenizer(definition(), added=True), Tokenizer.from_str(definition())
+    for text in [*ADDED, *TEXTS[1:]]:
+        ids = np.frombuffer(words.encode(text), "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids, repr(text)
+    assert np.frombuffer(words.encode(ADDED[0]), "<u4").tolist() == [320, 49407, 321]
+    assert np.frombuffer(words.encode(ADDED[1]), "<u4").tolist() == [343, 49406, 344]
+
+
+def test_query_gives_the_ids_of_added_tokens(spark, tmp_path):
+    from relaydesk.llm import queries
+
+    whole = Tokenizer.from_str(definition())
+    spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r.doc_id: r for r in queries.op6_packing(spark, str(tmp_path)).collect() if r.length == r.doc_tokens}
+    assert out
+    for key, row in out.items():
+        ids = [*whole.encode(ADDED[key], add_special_tokens=False).ids, 1]
+        assert (row.doc_tokens, row.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_choice_is_the_closest_fill():
     draw = random.Random(3)
     for _ in range(200):
