@@ -36,6 +36,15 @@ def test_stages_keep_columns_and_take_odd_rows(spark, name, stage):
         assert None in kept and 9003 in kept  # a null id leads to nothing
 
 
+def test_ngram_dedup_drops_rows_not_ids(spark):
+    copied, other = "an ordinary text of a few words that two rows share", "a clean text that no other row has at all"
+    schema = "doc_id long, text string"
+    left = lambda rows: sorted(pipeline.ngram_dedup(spark, spark.createDataFrame(rows, schema), FOLDER).collect(), key=str)
+    assert left([(2, copied), (4, copied), (4, other)]) == [(2, copied), (4, other)]
+    assert left([(4, copied), (4, copied)]) == [(4, copied)]
+    assert left([(4, copied), (4, copied), (-3, copied), (7, None), (7, None), (None, copied)]) == [(-3, copied), (7, None), (7, None), (None, copied)]
+
+
 def test_pipeline_is_registered():
     import __spark_entry__ as contract
 
