@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,12 +82,23 @@ def read_threads(spark: SparkSession, path: str, company: str | None = None) ->
 def read_json_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines, as :func:`write_json` writes them, or files that hold one JSON array each.
 
-    The first character of the first line that isn't blank tells which; a path
-    holds one form. Lines are split among tasks, an array is read by one task.
+    The first character of a file that isn't blank tells which, so a path may hold
+    both forms. Lines are split among tasks, an array is read by one task.
     """
-    first = spark.read.text(path).where(F.col("value").rlike(r"\S")).select(F.ltrim("value").alias("value")).head()
-    array = first is not None and first.value.lstrip("\ufeff \t\r").startswith("[")
-    return spark.read.schema(schema).option("multiLine", array).json(path)
+    text = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        F.regexp_extract("value", r"[^\s\x{FEFF}]", 0).alias("first"),
+    )
+    files = text.where("first <> ''").groupBy("file").agg((F.min_by("first", "place") == "[").alias("array"))
+    forms = files.groupBy("array").agg(F.count("*").alias("n")).collect()
+    if len(forms) < 2:
+        return spark.read.schema(schema).option("multiLine", any(r.array for r in forms)).json(path)
+    # a path is read as a pattern, so its special characters are escaped
+    literal = lambda file: re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+    named = {array: [literal(r.file) for r in files.where(F.col("array") == array).collect()] for array in (True, False)}
+    read = [spark.read.schema(schema).option("multiLine", array).json(paths) for array, paths in named.items()]
+    return read[0].unionByName(read[1])
 
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:

@@ -65,6 +65,18 @@ def test_written_replies_are_read_whole(spark, tmp_path):
     assert sorted(map(tuple, io.read_cases(spark, str(tmp_path / "cases")).collect())) == CASES
 
 
+@pytest.mark.parametrize("array_first", [True, False])
+def test_a_folder_may_mix_lines_and_arrays(spark, tmp_path, array_first):
+    rows = [(str(i), f"question {i}\n[", "an answer") for i in range(9)]
+    folder = tmp_path / "a [kb]"
+    folder.mkdir()
+    made = [dict(zip(io.REPLIES.names, r)) for r in rows]
+    names = ["0 %.json", "1.json"] if array_first else ["1.json", "0 %.json"]
+    (folder / names[0]).write_text("\n\n " + json.dumps(made[:4], indent=2), "utf-8")
+    (folder / names[1]).write_text("\n" + "\n".join(map(json.dumps, made[4:])), "utf-8")
+    assert sorted(map(tuple, io.read_replies(spark, str(tmp_path / "a \\[kb\\]")).collect())) == rows
+
+
 def test_threads_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "threads")
     spark.createDataFrame([("1", "x", "Customer: a"), ("2", "y", "Customer: b")], io.THREADS).write.parquet(path)
