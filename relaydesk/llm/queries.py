@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaydesk.llm import byte_bpe, cap_dedup, fingerprints, line_dedup, ngram_join, packing, quality, toxicity, url_filter, warc
+from relaydesk.llm import byte_bpe, cap_dedup, fingerprints, line_dedup, ngram_join, packing, quality, residual_packing
+from relaydesk.llm import toxicity, url_filter, warc
 from relaydesk.llm.common import held_out, table
 from relaydesk.session import fresh_dir
 
@@ -129,3 +130,10 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_cap_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cap_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_tree_packing(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as definition:
+        pieces = residual_packing.pack(table(spark, folder, "documents"), definition.read(), capacity=2048, end_id=0)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

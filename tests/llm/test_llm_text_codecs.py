@@ -6,12 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from relaydesk.llm import byte_bpe, packing
+from relaydesk.llm import byte_bpe, packing, residual_packing, word_ids
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LETTERS = [chr(c) for c in [*range(0, 0x180), 0x2028, 0x3000, 0x180E, 0x200B, 0x661, 0x4E2D, 0x1F600, 0x301, 0x3A3, 0x130, 0xFEFF]]
@@ -67,7 +68,7 @@ def definition():
 
 
 def test_words_encode_as_the_whole_text():
-    words, whole = packing.WordTokenizer(definition()), Tokenizer.from_str(definition())
+    words, whole = word_ids.WordTokenizer(definition()), Tokenizer.from_str(definition())
     whole.encode_special_tokens = True
     for text in TEXTS[1:]:
         for _ in range(2):  # the second time from memory
@@ -79,7 +80,7 @@ ADDED = ["a <|endoftext|> b", "x<|startoftext|>y", "<|endoftext|>", "<|ENDOFTEXT
 
 
 def test_added_tokens_are_those_of_the_library():
-    words, whole = packing.WordTokenizer(definition(), added=True), Tokenizer.from_str(definition())
+    words, whole = word_ids.WordTokenizer(definition(), added=True), Tokenizer.from_str(definition())
     for text in [*ADDED, *TEXTS[1:]]:
         ids = np.frombuffer(words.encode(text), "<u4").tolist()
         assert ids == whole.encode(text, add_special_tokens=False).ids, repr(text)
@@ -158,3 +159,86 @@ def test_digests_of_the_query(spark, library):
         assert out.n_tokens[key] == len(ids)
         assert out.ids_sha256[key] == hashlib.sha256(ids.tobytes()).hexdigest()
         assert out.decoded_sha256[key] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_batches_have_the_ids_of_the_library():
+    library, draw = Tokenizer.from_str(definition()), random.Random(9)
+    odd = ["'s", "'LL", "''ve", "'", "Σς", "ß", "İ", "中文", "e\u0301", "\u00a0", "\u200b", "\x1c", "\x85", "<|endoftext|>", "²", "Ⅷ"]
+    letters = [*"aabesTrv.,12 \t\n", *odd]
+    texts = [None, "", " ", "x" * 500, *TEXTS, *("".join(draw.choice(letters) for _ in range(draw.randint(0, 60))) for _ in range(2000))]
+    words = word_ids.WordIds(definition())
+    for start, n in word_ids.slices(pa.array(texts, pa.string()), at_most=20_000):
+        ids, bounds = words.encode(pa.array(texts[start : start + n], pa.string()))
+        for text, a, b in zip(texts[start : start + n], bounds[:-1], bounds[1:]):
+            assert ids[a:b].tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert words.encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def test_batches_may_split_literals_like_other_text():
+    whole, words = word_ids.WordTokenizer(definition()), word_ids.WordIds(definition(), added=False)
+    ids, _ = words.encode(pa.array(["a <|endoftext|> b"]))
+    assert ids.tobytes() == whole.encode("a <|endoftext|> b")
+
+
+def test_best_fit_places_each_item_in_the_fullest_bin_with_room():
+    draw = random.Random(4)
+    for _ in range(200):
+        capacity = draw.randint(5, 60)
+        counts = {draw.randint(1, capacity): draw.randint(1, 9) for _ in range(draw.randint(0, 9))}
+        rooms = []  # one item after the other
+        for length in sorted((x for x, n in counts.items() for _ in range(n)), reverse=True):
+            fit = min((r for r in rooms if r >= length), default=None)
+            if fit is None:
+                fit = capacity
+            else:
+                rooms.remove(fit)
+            rooms.append(fit - length)
+        kinds = residual_packing.best_fit(counts, capacity)
+        assert sorted(room for bins, _, room in kinds for _ in range(bins)) == sorted(rooms)
+        held = {}
+        for bins, content, room in kinds:
+            assert sum(x * n for x, n in content) + room == capacity
+            for x, n in content:
+                held[x] = held.get(x, 0) + bins * n
+        assert held == counts
+
+
+def tree(spark, rows, capacity, near=2, partitions=20):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, node int").repartition(partitions)
+    out = residual_packing.pack(docs, definition(), capacity=capacity, end_id=0, near=near)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"]
+    return out.toPandas()
+
+
+def test_tree_packing_holds_every_id_once(spark, monkeypatch):
+    monkeypatch.setattr(residual_packing, "NUMBERED", 40)
+    library = Tokenizer.from_str(definition())
+    rows = [(i % 390, t, "x", 1) for i, t in enumerate(TEXTS[:4] + TEXTS[7:] + ["a b c", "a b c"] * 60)] + [(None, "z", "x", 1)]
+    out = tree(spark, rows, 64)
+    expected = sorted(
+        (-1 if k is None else k, [*library.encode(t or "", add_special_tokens=False).ids, 0]) for k, t, _, _ in rows
+    )
+    # texts of a repeated key cannot be told apart by it: compare whole pieces
+    cut = sorted((k, p, ids[64 * p : 64 * p + 64]) for k, ids in expected for p in range(-(-len(ids) // 64)))
+    got = sorted(
+        (-1 if np.isnan(r.doc_id) else int(r.doc_id), r.piece, np.frombuffer(r.ids, "<u4").tolist()) for r in out.itertuples()
+    )
+    assert got == cut
+    assert (out.start == 64 * out.piece).all() and (out.length == out.ids.str.len() // 4).all()
+    for _, sequence in out.sort_values("offset").groupby("sequence_id"):
+        assert (sequence.offset == sequence.length.cumsum() - sequence.length).all()
+        assert sequence.length.sum() <= 64
+    sizes = {}
+    for _, _, ids in cut:
+        sizes[len(ids)] = sizes.get(len(ids), 0) + 1
+    whole = sum(bins for bins, _, _ in residual_packing.best_fit(sizes, 64))
+    assert out.sequence_id.nunique() <= whole + 2  # as all at once, but for what nearly full bins waste
+
+
+def test_tree_packing_joins_what_no_task_could_fill(spark):
+    # 64 tasks with one short text each: only the rounds above can put them together
+    out = tree(spark, [(i, "a", "x", 1) for i in range(128)], 32, near=0, partitions=64)
+    assert out.sequence_id.nunique() == 8
+    assert tree(spark, [], 32).empty
+    with pytest.raises(ValueError):
+        residual_packing.pack(spark.createDataFrame([], "doc_id long, text string"), definition(), capacity=0)
