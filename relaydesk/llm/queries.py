@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaydesk.llm import byte_bpe, cap_dedup, fingerprints, line_dedup, ngram_join, packing, quality, residual_packing
-from relaydesk.llm import toxicity, url_filter, warc
+from relaydesk.llm import byte_bpe, cap_dedup, fingerprints, line_dedup, ngram_join, packing, periodic_runs, quality
+from relaydesk.llm import residual_packing, toxicity, url_filter, warc
 from relaydesk.llm.common import held_out, table
 from relaydesk.session import fresh_dir
 
@@ -137,3 +137,51 @@ def op13_tree_packing(spark: SparkSession, folder: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as definition:
         pieces = residual_packing.pack(table(spark, folder, "documents"), definition.read(), capacity=2048, end_id=0)
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def _repeating(doc_id: Column, text: Column) -> Column:
+    """The contract's texts: in a tenth of the rows the words repeat from one place on."""
+    h = F.crc32(doc_id.cast("string"))
+    words = F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")
+    made = F.transform(
+        F.array(F.struct(words.alias("w"), F.floor(h / 10).alias("g"))),
+        lambda x: F.struct(x["w"].alias("w"), x["g"].alias("g"), (x["g"] % F.greatest(F.size(x["w"]), F.lit(1))).alias("a")),
+    )
+    made = F.transform(
+        made, lambda x: F.struct(x["w"], x["a"], (1 + F.floor((F.size(x["w"]) - x["a"]) / (3 + x["g"] % 8))).alias("p"))
+    )
+    placed = F.get(made, F.lit(0))
+    return F.when(
+        (h % 10 == 0) & (F.size(words) > 0),
+        F.array_join(
+            F.transform(
+                placed["w"],
+                lambda w, i: F.when(i < placed["a"], w).otherwise(
+                    F.get(placed["w"], (placed["a"] + (i - placed["a"]) % placed["p"]).cast("int"))
+                ),
+            ),
+            " ",
+        ),
+    ).otherwise(text)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", _repeating(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(docs)
+    # by exact quotients; the earlier run and then the shorter period first among equals
+    ahead = lambda a, b: (
+        F.when(a["length"] * b["period"] != b["length"] * a["period"], a["length"] * b["period"] > b["length"] * a["period"])
+        .when(a["start"] != b["start"], a["start"] < b["start"])
+        .otherwise(a["period"] < b["period"])
+    )
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda a, b: F.when(ahead(b, a), b).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda r: F.concat(r, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
