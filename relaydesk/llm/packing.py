@@ -22,81 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
 
 from relaydesk.llm.common import per_process
+from relaydesk.llm.word_ids import WordIds, slices
 
-REMEMBERED = 600_000
 WINDOW = 2048
 FLUSH_IDS = 2_000_000
 
 
-def byte_letters() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies.
-
-    Printable Latin-1 bytes stand for themselves, the others for the characters from 256 on.
-    """
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(own)]
-    letters = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
-    return [letters[b] for b in range(256)]
-
-
-class WordTokenizer:
-    """Ids by a vocabulary that splits text at white space first, remembered by word.
-
-    White space ends every piece, so the ids of a text are those of its words.
-    A word that was not seen is normalized and split as the tokenizer does and
-    each piece is given to the tokenizer's model. With ``added`` a text that holds
-    a literal of the definition's added tokens is left to the tokenizer itself,
-    which gives the token's id for it; without, literals are words like others.
-    """
-
-    def __init__(self, definition: str, added: bool = False):
-        self.tokenizer = Tokenizer.from_str(definition)
-        tokens = self.tokenizer.get_added_tokens_decoder().values() if added else []
-        # those that are normalized first are looked for in the normalized text
-        self.normalized = any(t.normalized for t in tokens)
-        self.added = regex.compile("|".join(regex.escape(t.content) for t in tokens)) if tokens else None
-        self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.white = regex.compile(r"\P{White_Space}+")
-        self.odd_space = regex.compile("[\x1c-\x1f]")  # str.split takes these for white space
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
-        self.by_word: dict[str, bytes] = {}
-        self.by_piece: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.by_piece.get(piece)
-        if ids is None:
-            mapped = "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped))
-            self.by_piece[piece] = ids
-        return ids
-
-    def _word(self, word: str) -> bytes:
-        plain = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
-        ids = self.by_word[word] = b"".join(map(self._piece, self.pieces.findall(plain)))
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        if self.added and (self.normalized or self.added.search(text)):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.by_word) > REMEMBERED:
-            self.by_word.clear()
-            self.by_piece.clear()
-        words = self.white.findall(text) if self.odd_space.search(text) else text.split()
-        known = self.by_word
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            return b"".join([known[w] if w in known else self._word(w) for w in words])
-
-
 def choose(counts: dict[int, int], target: int) -> dict[int, int]:
     """The multiset of lengths, within ``counts``, whose sum is closest below or at ``target``."""
     reach, mask, steps = 1, (1 << (target + 1)) - 1, []
@@ -216,10 +153,10 @@ def pack(
         ]
     )
     definition = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    name = f"words-{added}-{hashlib.sha256(tokenizer.encode()).hexdigest()}"
+    name = f"word_ids-{added}-{hashlib.sha256(tokenizer.encode()).hexdigest()}"
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = per_process(name, lambda: WordTokenizer(definition.value, added))
+        words = per_process(name, lambda: WordIds(definition.value, added))
         packer, first = Packer(capacity, window), TaskContext.get().partitionId() << 33
         tail = int(end_id).to_bytes(4, "little")
         keys: dict[int, tuple] = {}  # of the documents in the window
@@ -252,10 +189,11 @@ def pack(
 
         for given in batches:
             key_type = given.column(0).type
-            for at in range(0, given.num_rows, 256):
-                part = given.slice(at, 256)
-                for value, content in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.frombuffer(words.encode(content or "") + tail, dtype="<u4")
+            for at, n in slices(given.column(1)):
+                flat, bounds = words.encode(given.column(1).slice(at, n))
+                content, ends = flat.tobytes(), (4 * bounds).tolist()
+                for value, a, b in zip(given.column(0).slice(at, n).to_pylist(), ends[:-1], ends[1:]):
+                    ids = np.frombuffer(content[a:b] + tail, dtype="<u4")
                     keys[seen] = (value, len(ids))
                     for sequence in packer.add(seen, ids):
                         add(sequence)
