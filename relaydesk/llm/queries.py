@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relaydesk.functions.text import bind
 from relaydesk.llm import byte_bpe, cap_dedup, fingerprints, line_dedup, ngram_join, packing, periodic_runs, quality
 from relaydesk.llm import residual_packing, toxicity, url_filter, warc
 from relaydesk.llm.common import held_out, table
@@ -142,27 +143,20 @@ def op13_tree_packing(spark: SparkSession, folder: str) -> DataFrame:
 def _repeating(doc_id: Column, text: Column) -> Column:
     """The contract's texts: in a tenth of the rows the words repeat from one place on."""
     h = F.crc32(doc_id.cast("string"))
-    words = F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")
-    made = F.transform(
-        F.array(F.struct(words.alias("w"), F.floor(h / 10).alias("g"))),
-        lambda x: F.struct(x["w"].alias("w"), x["g"].alias("g"), (x["g"] % F.greatest(F.size(x["w"]), F.lit(1))).alias("a")),
-    )
-    made = F.transform(
-        made, lambda x: F.struct(x["w"], x["a"], (1 + F.floor((F.size(x["w"]) - x["a"]) / (3 + x["g"] % 8))).alias("p"))
-    )
-    placed = F.get(made, F.lit(0))
-    return F.when(
-        (h % 10 == 0) & (F.size(words) > 0),
-        F.array_join(
-            F.transform(
-                placed["w"],
-                lambda w, i: F.when(i < placed["a"], w).otherwise(
-                    F.get(placed["w"], (placed["a"] + (i - placed["a"]) % placed["p"]).cast("int"))
-                ),
-            ),
-            " ",
+    g = F.floor(h / 10)
+
+    def repeat(words: Column, a: Column, p: Column) -> Column:
+        again = lambda i: F.get(words, (a + (i - a) % p).cast("int"))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(again(i))), " ")
+
+    made = bind(
+        F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != ""),
+        lambda words: bind(
+            g % F.greatest(F.size(words), F.lit(1)),
+            lambda a: bind(1 + F.floor((F.size(words) - a) / (3 + g % 8)), lambda p: repeat(words, a, p)),
         ),
-    ).otherwise(text)
+    )
+    return F.when(h % 10 == 0, made).otherwise(text)
 
 
 @query
