@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaydesk.functions.text import bind
-from relaydesk.llm import byte_bpe, cap_dedup, fingerprints, line_dedup, ngram_join, packing, periodic_runs, quality
-from relaydesk.llm import residual_packing, toxicity, url_filter, warc
+from relaydesk.llm import byte_bpe, cap_dedup, fingerprints, gnat_codes, line_dedup, ngram_join, packing, periodic_runs
+from relaydesk.llm import quality, residual_packing, toxicity, url_filter, warc
 from relaydesk.llm.common import held_out, table
 from relaydesk.session import fresh_dir
 
@@ -179,3 +180,47 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(lines, lambda r: F.concat(r, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_gnat_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = gnat_codes.compress(table(spark, folder, "embeddings"))
+    digest = books.digest() if books else hashlib.sha256(b"").hexdigest()
+    return coded.withColumn("codebooks_sha256", F.lit(digest))
+
+
+def _gnat_codes_sql(rounds: int = 4, entries: int = 256) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} AS (
+  SELECT v.vec_id, v.p, v.c, min(list_sum(list_transform(list_zip(v.c, b.c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) * {entries} + b.e) AS m
+  FROM parts v JOIN book{k} b ON v.p = b.p GROUP BY v.vec_id, v.p, v.c)""")
+        if k < rounds:
+            steps.append(f"""
+mean{k} AS (
+  SELECT p, e, list(mean ORDER BY i) AS c
+  FROM (SELECT p, e, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS mean
+        FROM (SELECT p, m % {entries} AS e, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM near{k}) GROUP BY p, e, i)
+  GROUP BY p, e),
+book{k + 1} AS (SELECT b.p, b.e, coalesce(n.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} n ON b.p = n.p AND b.e = n.e)""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, p, list_slice(q, p * len(q) // 4 + 1, (p + 1) * len(q) // 4) AS c FROM kept, range(4) AS t(p)),
+book0 AS (
+  SELECT p, e, c FROM (SELECT p, c, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM parts) WHERE e < {entries}),
+{",".join(steps)},
+coded AS (
+  SELECT vec_id, string_agg(format('{{:02x}}', m % {entries}), '' ORDER BY p) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id),
+digest AS (
+  SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM book{rounds}))
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, d.codebooks_sha256
+FROM kept k JOIN coded c ON k.vec_id = c.vec_id CROSS JOIN digest d
+"""
+
+
+SQL["op12_gnat_codes"] = _gnat_codes_sql()
