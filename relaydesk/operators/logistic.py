@@ -1,40 +1,26 @@
 """Multinomial logistic regression on TF-IDF features.
 
-Fitting is ``pyspark.ml``. A fitted model is a small matrix (labels by
-vocabulary), so scoring is a row-local expression and never leaves the JVM.
+Fitting is Newton's method over a written feature table. A fitted model is a
+small matrix (labels by vocabulary), so scoring is a row-local expression and
+never leaves the JVM.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from relaydesk.operators import newton
 from relaydesk.operators.rules import softmax
 from relaydesk.operators.tfidf import TfidfModel, double_array
 from relaydesk.session import fresh_dir
 from relaydesk.sources.tables import gather
 
 MAX_FEATURES = 2500
-
-
-_TRAINING = T.StructType(
-    [T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType()), T.StructField("weight", T.DoubleType())]
-)
-
-
-def _as_vector(size: int, vec: Column) -> Column:
-    """The stored form of a sparse vector; a parquet reader asked for vectors takes it as one."""
-    return F.struct(
-        F.lit(0).cast("byte").alias("type"),
-        F.lit(size).alias("size"),
-        vec["idx"].alias("indices"),
-        vec["w"].alias("values"),
-    )
+# rows of a small table that a task adds up in less time than it takes to start
+ROWS_PER_TASK = 1000
 
 
 @dataclass(frozen=True)
@@ -50,9 +36,7 @@ class IntentModel:
     def fit(cls, df: DataFrame, text: str, label: str, max_features: int = MAX_FEATURES, c: float = 1.0) -> IntentModel:
         """Minimise the log loss, each class weighted to the same total, plus |weights|^2 / 2c.
 
-        The summed loss has no penalty on intercepts and features are not
-        rescaled; ``pyspark.ml`` divides the loss by the total weight, so the
-        penalty is divided by it too.
+        The summed loss has no penalty on intercepts and features are not rescaled.
         """
         known = df.where(F.col(label).isNotNull())
         tfidf = TfidfModel.fit(known, text, max_features, sublinear=True)
@@ -61,24 +45,19 @@ class IntentModel:
         classes = tuple(sorted(counts))
         rows = sum(counts.values())
         weight = F.coalesce(*[F.when(F.col(label) == x, F.lit(rows / (len(classes) * counts[x]))) for x in classes])
-        number = F.coalesce(*[F.when(F.col(label) == x, F.lit(float(i))) for i, x in enumerate(classes)])
-        rows_out = tfidf.transform(known, text).select(
-            _as_vector(len(tfidf.terms), F.col("vec")).alias("features"), number.alias("label"), weight.alias("weight")
+        number = F.coalesce(*[F.when(F.col(label) == x, F.lit(i)) for i, x in enumerate(classes)])
+        features = tfidf.transform(known, text).select(
+            F.col("vec.idx").alias("idx"), F.col("vec.w").alias("w"), number.alias("label"), weight.alias("weight")
         )
-        # written once: the iterations below read features, not texts, also after a lost executor
+        # written once: the steps below read features, not texts, also after a lost executor
         path = fresh_dir(df.sparkSession, "features")
-        gather(rows_out, known).write.parquet(path)
-        train = df.sparkSession.read.schema(_TRAINING).parquet(path)
-        fitted = LogisticRegression(
-            family="multinomial",
-            weightCol="weight",
-            standardization=False,
-            elasticNetParam=0.0,
-            regParam=1.0 / (c * rows),
-            maxIter=1000,
-        ).fit(train)
-        matrix = fitted.coefficientMatrix.toArray()
-        return cls(tfidf, classes, tuple(map(tuple, matrix.tolist())), tuple(fitted.interceptVector.toArray().tolist()))
+        tasks = 1 + rows // ROWS_PER_TASK
+        few = tasks < df.sparkSession.sparkContext.defaultParallelism
+        (features.repartition(tasks) if few else gather(features, known)).write.parquet(path)
+        train = df.sparkSession.read.schema(features.schema).parquet(path)
+        matrix = newton.fit(train, len(classes), len(tfidf.terms), 1.0 / c)
+        weights = tuple(map(tuple, matrix[:, :-1].tolist()))
+        return cls(tfidf, classes, weights, tuple(matrix[:, -1].tolist()))
 
     def probabilities(self, df: DataFrame, text: str, labels: tuple[str, ...], out: str) -> DataFrame:
         """Append ``out``: array of probabilities in the order of ``labels``; 0 for a label never seen."""

@@ -8,6 +8,7 @@ stay in one row and nothing has to be joined back.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -112,11 +113,13 @@ def benchmark(
     fit: Sequence[str] = MODES,
 ) -> list[DataFrame]:
     """Scored predictions of every variant on the same cases; ``fit`` names the variants that learn from them."""
-    scored = []
+    scored, model = [], None
     for mode in MODES:
         system = System.create(mode, pack, replies, reply_key)
         if mode in fit:
-            system = system.fit(cases, "customer_tweet", "true_intent", key)
+            # the variants that use the regression share it
+            system = replace(system, model=model) if model else system.fit(cases, "customer_tweet", "true_intent", key)
+            model = system.model
         scored.append(scored_predictions(cases, system, mode, own))
     return scored
 

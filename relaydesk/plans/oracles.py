@@ -127,18 +127,74 @@ def ranked(source: str, key: str, text: str, sublinear: bool, own: bool = False)
 # ---------------------------------------------------------------- intent and escalation
 
 
-def intent_of(source: str, key: str, text: str) -> str:
-    """CTE ``intents``(key, score_*, intent, intent_confidence) by rules alone."""
+def regression(source: str, key: str, text: str, label: str, asked: str, steps: int = 500, features: int = 2500) -> str:
+    """CTE ``priors``(key, p_*): probabilities by a regression fitted on ``source``, for its column ``asked``.
+
+    Accelerated gradient descent by a recursive CTE: a row of a step holds a term's (place -1: the intercepts')
+    weights z and the point y that the gradient is taken at. No curvature is more than ``steep``, and none less than 1.
+    """
+    z, y = [f"z_{x}" for x in LABELS], [f"y_{x}" for x in LABELS]
+    nothing = ", ".join(f"0.0::DOUBLE AS {c}" for c in [*z, *y])
+    top = "greatest(" + ", ".join(f"CASE WHEN n_{x} > 0 THEN s_{x} END" for x in LABELS) + ")"
+    # a label that no row has is no class
+    e = {x: f"CASE WHEN n_{x} > 0 THEN exp(s_{x} - top) ELSE 0 END" for x in LABELS}
+    total = " + ".join(e.values())
+    moved = {x: f"(y_{x} - (g_{x} + CASE WHEN place < 0 THEN 0 ELSE y_{x} END) / steep)" for x in LABELS}
+    return f"""
+    {term_counts(source, key, text, "lr_terms")},
+    lr_vocab AS (SELECT term, ln((1 + (SELECT count(*) FROM {source})) / (1.0::DOUBLE + count(*))) + 1 AS idf
+                 FROM lr_terms GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {features}),
+    lr_place AS MATERIALIZED (SELECT term, row_number() OVER (ORDER BY term) - 1 AS place, idf FROM lr_vocab),
+    lr_x AS MATERIALIZED (SELECT {key} AS key, place, x / sqrt(sum(x * x) OVER (PARTITION BY {key})) AS w
+        FROM (SELECT {key}, place, (1 + ln(tf)) * idf AS x FROM lr_terms JOIN lr_place USING (term))
+        UNION ALL SELECT {key}, -1, 1.0 FROM {source}),
+    lr_n AS MATERIALIZED (SELECT {", ".join(f"count(*) FILTER ({label} = '{x}') AS n_{x}" for x in LABELS)} FROM {source}),
+    lr_rows AS MATERIALIZED (SELECT {key} AS key, {label} AS label, count(*) OVER () /
+            ((SELECT {" + ".join(f"(n_{x} > 0)::INT" for x in LABELS)} FROM lr_n) * count(*) OVER (PARTITION BY {label}))::DOUBLE AS row_weight
+        FROM {source}),
+    lr_steep AS MATERIALIZED (SELECT 1 + max(line) / 2 AS steep FROM (SELECT key, sum(x.w * m.w) AS line FROM lr_x x
+        JOIN (SELECT place, sum(w * row_weight) AS w FROM lr_x JOIN lr_rows USING (key) GROUP BY place) m USING (place) GROUP BY key)),
+    lr_fit AS (
+        SELECT 0 AS step, place, {nothing} FROM (SELECT DISTINCT place FROM lr_x)
+        UNION ALL (
+        WITH sums AS (SELECT key, {", ".join(f"sum(w * y_{x}) AS s_{x}" for x in LABELS)} FROM lr_x JOIN lr_fit USING (place) GROUP BY key),
+        topped AS (SELECT *, {top} AS top FROM sums CROSS JOIN lr_n),
+        added AS (SELECT *, {total} AS total FROM topped),
+        rest AS (SELECT key, {", ".join(f"row_weight * ({e[x]} / total - (label = '{x}')::INT) AS r_{x}" for x in LABELS)}
+                 FROM added JOIN lr_rows USING (key)),
+        slope AS (SELECT place, {", ".join(f"sum(w * r_{x}) AS g_{x}" for x in LABELS)} FROM lr_x JOIN rest USING (key) GROUP BY place),
+        went AS (SELECT step + 1 AS step, place, (sqrt(steep) - 1) / (sqrt(steep) + 1) AS swing,
+                 {", ".join(f"{moved[x]} AS new_{x}, z_{x}" for x in LABELS)}
+                 FROM lr_fit JOIN slope USING (place) CROSS JOIN lr_steep WHERE step < {steps})
+        SELECT step, place, {", ".join(f"new_{x}" for x in LABELS)}, {", ".join(f"new_{x} + swing * (new_{x} - z_{x})" for x in LABELS)} FROM went)),
+    lr_model AS (SELECT * FROM lr_fit WHERE step = {steps}),
+    {term_counts(source, key, asked, "lr_asked")},
+    lr_a AS (SELECT key, place, x / sqrt(sum(x * x) OVER (PARTITION BY key)) AS w
+        FROM (SELECT {key} AS key, place, (1 + ln(tf)) * idf AS x FROM lr_asked JOIN lr_place USING (term))
+        UNION ALL SELECT {key}, -1, 1.0 FROM {source}),
+    lr_sums AS (SELECT key, {", ".join(f"sum(w * z_{x}) AS s_{x}" for x in LABELS)} FROM lr_a JOIN lr_model USING (place) GROUP BY key),
+    lr_top AS (SELECT *, {top} AS top FROM lr_sums CROSS JOIN lr_n),
+    priors AS (SELECT key, {", ".join(f"{e[x]} / ({total}) AS p_{x}" for x in LABELS)} FROM lr_top)"""
+
+
+PRIOR_TOP = "greatest(" + ", ".join(f"p_{x}" for x in LABELS) + ")"
+PRIOR_NAME = "CASE " + " ".join(f"WHEN p_{x} = {PRIOR_TOP} THEN '{x}'" for x in LABELS) + " END"
+
+
+def intent_of(source: str, key: str, text: str, fitted: bool = False) -> str:
+    """CTE ``intents``(key, score_*, intent, intent_confidence) by rules alone, or by rules and ``priors``."""
     scores = ", ".join(
         f"1.5 * len(list_filter({words(text)}, lambda t: t IN ({', '.join(map(q, pack.LEXICONS[x]))}))) AS score_{x}"
         for x in LABELS
     )
-    logits = ", ".join(f"(ln(0.25::DOUBLE) + 1.2::DOUBLE * score_{x}) / 0.85::DOUBLE AS l_{x}" for x in LABELS)
+    prior = {x: f"greatest(p_{x}, 1e-6::DOUBLE)" if fitted else "0.25::DOUBLE" for x in LABELS}
+    logits = ", ".join(f"(ln({prior[x]}) + 1.2::DOUBLE * score_{x}) / 0.85::DOUBLE AS l_{x}" for x in LABELS)
     top = "greatest(" + ", ".join(f"l_{x}" for x in LABELS) + ")"
     total = " + ".join(f"exp(l_{x} - top)" for x in LABELS)
     name = " ".join(f"WHEN l_{x} = top THEN '{x}'" for x in LABELS)
     return f"""
-    scored AS (SELECT {key} AS key, {scores} FROM {source}),
+    scored AS (SELECT {key} AS key, {scores}{", priors.* EXCLUDE (key)" if fitted else ""}
+        FROM {source}{f" JOIN priors ON priors.key = {source}.{key}" if fitted else ""}),
     logits AS (SELECT *, {logits} FROM scored),
     topped AS (SELECT *, {top} AS top FROM logits),
     intents AS (SELECT *, CASE {name} END AS intent, 1.0::DOUBLE / ({total}) AS intent_confidence FROM topped)"""
@@ -222,9 +278,9 @@ LABELLED = f"""labelled AS (SELECT doc_id, text, lang, n_chars, quality, toxic,
         {clean('text')} AS cleaned FROM documents JOIN labels USING (doc_id))"""
 
 
-def decided(source: str, key: str, text: str) -> str:
+def decided(source: str, key: str, text: str, fitted: bool = False) -> str:
     """CTE ``decided``: every row with intent and tiered escalation."""
-    return f"""{intent_of(source, key, text)},
+    return f"""{intent_of(source, key, text, fitted)},
     decided AS (SELECT d.*, i.intent, i.intent_confidence, {tiered(f'd.{text}', 'i.intent')}
                 FROM {source} d JOIN intents i ON i.key = d.{key})"""
 
@@ -423,13 +479,17 @@ CASES = f"""
     counted AS (SELECT *, {_CASE_WORDS} FROM pairs JOIN needed USING (conv_id)),
     cases AS (SELECT conv_id, inquiry AS customer_tweet, CASE {_CASE_NAME} END AS true_intent,
         n_user > 2 AS true_escalate, resolution AS gold, {clean('inquiry')} AS cleaned FROM counted)"""
-VARIANTS = f"""WITH {replies()}, {CASES},
+def variants(fitted: bool) -> str:
+    """CTEs of the scored answers of all variants; ``summary`` has a row for each."""
+    learnt = regression("cases", "conv_id", "customer_tweet", "true_intent", "cleaned") + "," if fitted else ""
+    name = f"(SELECT {PRIOR_NAME} FROM priors WHERE priors.key = c.conv_id)" if fitted else "'en'"
+    return f"""WITH RECURSIVE {replies()}, {CASES}, {learnt}
     {term_counts('kb', 'conv_id', 'customer_inquiry', 'kb_terms')},
     {vocabulary('kb_terms', 'kb', 3000)},
     {weights('kb_terms', 'conv_id', False, 'kb_vec')},
     {ranked('cases', 'conv_id', 'cleaned', False, own=True)},
     simple_best AS (SELECT key, kb_id FROM hits WHERE rank = 1),
-    simple AS (SELECT c.conv_id, 'en' AS intent, {keyword('c.cleaned')},
+    simple AS (SELECT c.conv_id, {name} AS intent, {keyword('c.cleaned')},
         k.support_resolution AS reply
         FROM cases c LEFT JOIN simple_best b ON b.key = c.conv_id
         JOIN kb k ON k.conv_id = coalesce(b.kb_id, (SELECT min(conv_id) FROM kb))),
@@ -444,7 +504,7 @@ VARIANTS = f"""WITH {replies()}, {CASES},
     p_best AS (SELECT key, score, support_resolution AS resolution FROM (SELECT *, row_number() OVER
         (PARTITION BY key ORDER BY round(score, 9) DESC, kb_id) AS rank FROM p_sims) JOIN kb ON kb_id = conv_id
         WHERE rank = 1),
-    {decided('cases', 'conv_id', 'cleaned')},
+    {decided('cases', 'conv_id', 'cleaned', fitted)},
     majority AS (SELECT true_intent FROM cases GROUP BY 1 ORDER BY count(*) DESC, min(conv_id) LIMIT 1),
     answers AS (
         SELECT 'trivial' AS system, conv_id, (SELECT true_intent FROM majority) AS pred_intent, false AS pred_escalate,
@@ -482,6 +542,8 @@ VARIANTS = f"""WITH {replies()}, {CASES},
         coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1,
         coalesce(fn / nullif(fn + tp, 0), 0) AS "false_auto_handle_rate_FAHR",
         coalesce(fp / nullif(fp + tn, 0), 0) AS "false_escalation_rate_FER" FROM counts JOIN macro USING (system))"""
+
+
 HEADLINE = ("macro_f1", "f1", "false_auto_handle_rate_FAHR", "mean_rougeL", "mean_composite_score")
 SCALARS = {
     **{
@@ -680,12 +742,22 @@ SQL: dict[str, str] = {
         SELECT n AS sample_size, round({p_value('r', 'n')}, 6) AS pearson_p_value,
             round({p_value('rho', 'n')}, 6) AS spearman_p_value FROM c""",
     "calibration": f"WITH {RATED}, {agreement('rubric', 'human_rating', 'composite_score')}",
-    "system_comparison": VARIANTS
+    "system_comparison": variants(False)
     + "SELECT system, "
     + ", ".join(f'round("{c}", 6) AS "{c}"' for c in HEADLINE)
     + " FROM summary",
-    "system_metrics": f"{VARIANTS} {_METRIC_ROWS}",
+    "system_metrics": f"{variants(False)} {_METRIC_ROWS}",
     "cases_csv": f"WITH {LABELLED} SELECT doc_id, md5(text) AS text_md5, lang, true_escalate FROM labelled",
 }
 SQL["topk_exemplars_joined"] = SQL["topk_exemplars"]
 SQL["cases_json"] = SQL["cases_csv"]
+SQL["lr_intent"] = f"""WITH RECURSIVE {DOCS}, {regression('docs', 'doc_id', 'text', 'lang', 'cleaned')}
+    SELECT doc_id, lang, {PRIOR_NAME} AS intent, round({PRIOR_TOP}, 4) AS intent_confidence FROM docs JOIN priors ON key = doc_id"""
+SQL["lr_distribution"] = f"""WITH RECURSIVE {DOCS}, {regression('docs', 'doc_id', 'text', 'lang', 'cleaned', features=300)}
+    {" UNION ALL ".join(f"SELECT key AS doc_id, '{x}' AS label, round(p_{x}::DOUBLE, 4) AS prob FROM priors" for x in LABELS)}"""
+SQL["fitted_hybrid_intent"] = f"""WITH RECURSIVE {DOCS}, {regression('docs', 'doc_id', 'text', 'lang', 'cleaned')},
+    {intent_of('docs', 'doc_id', 'cleaned', fitted=True)}
+    SELECT doc_id, lang, intent, round(intent_confidence, 4) AS intent_confidence FROM docs JOIN intents ON key = doc_id"""
+SQL["system_comparison_fitted"] = (
+    f"{variants(True)} SELECT system, " + ", ".join(f'round("{c}", 4) AS "{c}"' for c in HEADLINE) + " FROM summary"
+)

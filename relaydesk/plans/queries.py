@@ -19,6 +19,7 @@ from relaydesk.functions.text import clean, keep_if, tokens
 from relaydesk.operators import agreement as agree
 from relaydesk.operators import conversations as conv
 from relaydesk.operators import metrics, rubric, rules
+from relaydesk.operators.logistic import IntentModel
 from relaydesk.operators.majority import predict_majority
 from relaydesk.operators.retrieve import ReplyIndex, add_exemplars
 from relaydesk.operators.reply import nearest_reply as with_nearest_reply
@@ -355,6 +356,15 @@ def fitted_hybrid_intent(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "lang", "intent", rounded("intent_confidence", places=4))
 
 
+@query
+def lr_distribution(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability of every label for every document, by a regression on few terms."""
+    docs = documents(spark, folder, "doc_id", "text", "lang").withColumn("cleaned_text", clean(F.col("text")))
+    model = IntentModel.fit(docs, "text", "lang", max_features=300)
+    scored = model.probabilities(docs, "cleaned_text", LABELS, "p").select("doc_id", F.posexplode("p").alias("i", "p"))
+    return scored.select("doc_id", F.get(F.array(*map(F.lit, LABELS)), F.col("i")).alias("label"), rounded("p", "prob", 4))
+
+
 # ---------------------------------------------------------------- escalation
 
 
