@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe against lost executors."""
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_written(df.sparkSession, df.schema, path)
+
+
+def read_written(spark: SparkSession, schema, path: str) -> DataFrame:
+    out = spark.read.schema(schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`written` made; nothing that is still to be computed may read them."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._written_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(key: Column) -> Column:
@@ -69,6 +84,28 @@ def meet(rows: DataFrame, dim: DataFrame, key: str, spread: Column, how: str = "
     return salted(rows, dim, key, spread, how)
 
 
+# bits of a filter that is broadcast, whatever the size of the table; a fuller filter lets more rows pass
+FILTER_BITS = 1 << 26
+
+
+def bit_filter(keys: DataFrame, key: str) -> np.ndarray:
+    """64-bit words with a bit for each ``key`` (a hash, as a long), for :func:`may_hold`."""
+    bit = F.col(key).bitwiseAND(FILTER_BITS - 1)
+    words = keys.groupBy(F.shiftright(bit, 6).cast("int").alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST({key} & 63 AS INT))")).alias("word")
+    )
+    found = words.toArrow()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[found.column("at").to_numpy()] = found.column("word").to_numpy()
+    return out.view(np.uint64)
+
+
+def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False for keys that are surely not in the filter."""
+    bit = keys.view(np.uint64) & np.uint64(FILTER_BITS - 1)
+    return (words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def spread_join(rows: DataFrame, dim: DataFrame, key: str, spread: Column, per_task: int = 1000) -> DataFrame:
     """Inner join of narrow ``rows`` (a written table) with a wide ``dim``, one row for each ``key``.
 

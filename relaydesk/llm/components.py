@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaydesk.llm.common import meet, written
+from relaydesk.llm.common import discard, meet, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -37,14 +37,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         half = half.select(F.coalesce("to", "node").alias("u"), F.col("v").alias("node"))
         whole = meet(half, moved, "node", F.col("u"), "left")
         whole = whole.select("u", F.coalesce("to", "node").alias("v")).where("u <> v")
+        before = edges
         edges = written(whole.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
+        discard(before)
     if not maps:
         return spark.createDataFrame([], "node long, component long")
     roots = maps[-1]
     for step in reversed(maps[:-1]):
         # where a node went in this round, and where that one ended
         ends = roots.select(F.col("node").alias("to"), F.col("to").alias("end"))
+        before = roots
         roots = meet(step, ends, "to", F.col("node"), "left").select("node", F.coalesce("end", "to").alias("to"))
         roots = written(roots, "roots")
+        discard(before, step)
     least = written(roots.groupBy("to").agg(F.min("node").alias("component")), "least")
     return meet(roots, least, "to", F.col("node")).select("node", "component")

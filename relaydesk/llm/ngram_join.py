@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaydesk.llm.common import meet, salted, spread_join, written
+from relaydesk.llm.common import bit_filter, discard, may_hold, meet, salted, spread_join, written
 from relaydesk.llm.components import components
 
 WORDS = 5
 PERCENT = 75
 BATCH = 128
 # frequent shingles that the order knows; more or fewer change the cost alone
-FREQUENT = 1_000_000
+FREQUENT = 100_000
 COUNTED_AT_ONCE = 2_000_000
 BLOCK = 512
 LONG = 0.2  # the greater, the fewer lists are probed instead of merged
@@ -190,6 +190,21 @@ def _firsts(words: int, percent: int, frequent):
     return firsts
 
 
+def _perhaps_shared(filter_words):
+    """Rows (class, n, token) of the tokens that the filter may hold."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            tokens = lists.flatten().to_numpy()
+            kept = np.flatnonzero(may_hold(filter_words.value, tokens))
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())[kept]
+            columns = [pa.array(batch.column(i).to_numpy()[owner]) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(tokens[kept])], ["class", "n", "token"])
+
+    return tell
+
+
 def _contents(words: int):
     """Rows (class, n, set): the sorted shingles, eight bytes each."""
 
@@ -301,14 +316,21 @@ def class_links(docs: DataFrame, members_of: DataFrame, percent: int, words: int
     shared = written(shared.select("token"), "shared")
     if shared.isEmpty():
         return none
+    opened = [firsts, shared]
+    # most shingles are in one class alone, and go no farther than this
+    words_of = spark.sparkContext.broadcast(bit_filter(shared, "token"))
+    rows = firsts.mapInArrow(_perhaps_shared(words_of), "class long, n long, token long")
     members = meet(rows, shared, "token", F.col("class")).distinct()
     # linked sets differ in size by the similarity at most, which is a step of this scale
     step = F.floor(F.ln(F.col("n").cast("double")) / F.lit(1.0001 * np.log(100 / percent)))
     members = members.withColumn("_step", F.explode(F.array(step, step + 1)))
     members = written(members.select(F.xxhash64("token", "_step").alias("token"), "class"), "members")
     shared = members.groupBy("token").agg(F.min("class").alias("first"), F.max("class").alias("_b"))
+    discard(*opened)
     shared = written(shared.where("first <> _b").drop("_b"), "shared")
+    opened = [members, shared]
     members = written(meet(members, shared, "token", F.col("class")), "members")
+    discard(*opened)
 
     # whole sets of these classes, from the document with the least key of each; a repeated key may give one twice
     wanted = members.select("class").distinct()
@@ -323,33 +345,59 @@ def class_links(docs: DataFrame, members_of: DataFrame, percent: int, words: int
     dealt = salted(stars, sizes, "first", F.col("class")).withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")))
     centres = sizes.select(F.col("first").alias("class"), "first", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
     groups = dealt.select("class", "first", F.col("_block").cast("int").alias("_block")).unionByName(centres)
-    groups = _with_sets(groups, sets)
-    found = written(groups.groupBy("first", "_block").applyInArrow(_forest(percent), "a long, b long"), "found")
+    groups = written(groups, "groups")
+    searched = _with_sets(groups, sets).groupBy("first", "_block").applyInArrow(_forest(percent), "a long, b long")
+    found = written(searched, "found")
+    discard(groups)
 
     # shingles whose classes are not in one component yet
     parts = written(components(found).select(F.col("node").alias("class"), F.col("component").alias("part")), "parts")
     placed = meet(members.select("token", "first", "class"), parts, "class", F.col("token"), "left")
     placed = written(placed.withColumn("part", F.coalesce("part", "class")), "placed")
+    discard(parts, members)
     split = placed.groupBy("token").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_n"))
     # two classes have been searched already, as one is the other's first
     split = written(split.where("_n > 2 AND _a <> _b").select("token"), "split")
     if split.isEmpty():
+        discard(sets, placed, split)
         return found
     # shingles with the same first class make one group, as those of a passage do
     wide = meet(placed, split, "token", F.col("class")).select("first", "class", "part").distinct()
     wide = written(wide, "wide")
+    discard(placed, split)
     sizes = written(wide.groupBy("first").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks")), "sizes")
     dealt = meet(wide, sizes, "first", F.col("class")).withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")).cast("int"))
     # a block meets every other block of its group once
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     dealt = dealt.select("first", "class", "part", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"))
-    more = _with_sets(dealt, sets).groupBy("first", "_i", "_j").applyInArrow(_forest(percent), "a long, b long")
-    return found.unionByName(written(more, "found"))
+    blocks = written(dealt, "groups")
+    more = _with_sets(blocks, sets).groupBy("first", "_i", "_j").applyInArrow(_forest(percent), "a long, b long")
+    more = written(more, "found")
+    discard(wide, sizes, blocks, sets)
+    return found.unionByName(more)
 
 
 def _with_sets(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """A class may be in very many groups, so its rows are dealt out."""
-    return spread_join(written(groups, "groups"), sets, "class", F.struct(*(c for c in groups.columns if c != "class")))
+    """A class may be in very many groups (a written table), so its rows are dealt out."""
+    return spread_join(groups, sets, "class", F.struct(*(c for c in groups.columns if c != "class")))
+
+
+def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(token, times) of all tokens counted more often than some number, the least that leaves FREQUENT of them or fewer."""
+    counts = written(counts, "counted")
+    # few different numbers: the sum of the first n of them grows with the square of n
+    steps = counts.groupBy("times").agg(F.count("*").alias("n")).orderBy(F.desc("times")).toLocalIterator()
+    least, total = None, 0
+    for row in steps:
+        total += row.n
+        if total > FREQUENT:
+            break
+        least = row.times
+    found = counts.where(F.col("times") >= least).toArrow() if least is not None else counts.limit(0).toArrow()
+    discard(counts)
+    tokens = found.column("token").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], found.column("times").to_numpy()[order].astype(np.int64)
 
 
 def near_classes(
@@ -370,10 +418,7 @@ def near_classes(
         rows.mapInArrow(_survey(words), "key long, n long, class long, token long, times long"), "survey"
     )
     again = surveyed.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
-    often = again.orderBy(F.desc("times"), "token").limit(FREQUENT).toPandas()
-    tokens = often["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(tokens)
-    frequent = spark.sparkContext.broadcast((tokens[order], often["times"].to_numpy(np.int64)[order]))
+    frequent = spark.sparkContext.broadcast(_most_frequent(again))
     members = surveyed.where("token is null").select("key", "n", "class")
     links = class_links(rows.where("key is not null"), members.where("class is not null and key is not null"), percent, words, frequent)
     parts = components(links).select(F.col("node").alias("class"), F.col("component").alias("part"))
