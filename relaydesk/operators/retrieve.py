@@ -68,7 +68,11 @@ class ReplyIndex:
         ).persist(StorageLevel.MEMORY_AND_DISK)
         kept.count()  # from here on its true size is known to the optimizer
         model = TfidfModel.fit(kept, "inquiry", max_features, sublinear)
-        vectors = model.transform(kept, "inquiry").persist(StorageLevel.MEMORY_AND_DISK)
+        return cls.of_vectors(model, model.transform(kept, "inquiry").persist(StorageLevel.MEMORY_AND_DISK), max_broadcast)
+
+    @classmethod
+    def of_vectors(cls, model: TfidfModel, vectors: DataFrame, max_broadcast: int = MAX_BROADCAST_POSTINGS) -> ReplyIndex:
+        """The index of replies (kb_id, inquiry, resolution, vec) weighed by ``model``."""
         size = vectors.agg(
             F.coalesce(F.sum(F.size("vec.idx") + 1), F.lit(0)).alias("postings"),
             F.coalesce(F.sum(F.octet_length("resolution")), F.lit(0)).alias("text_bytes"),

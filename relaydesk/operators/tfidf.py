@@ -83,11 +83,15 @@ def term_statistics(df: DataFrame, text: str, frequent: DataFrame | None = None)
 
 def _top_terms(df: DataFrame, text: str, max_features: int, frequent: DataFrame | None) -> DataFrame:
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return top_terms(term_statistics(df, text, frequent), rows, max_features)
+
+
+def top_terms(statistics: DataFrame, rows: Column | int, max_features: int) -> DataFrame:
+    """(term, tf, df, idf) of the ``max_features`` most frequent terms of ``rows`` texts; ties go to the smaller term."""
     return (
-        term_statistics(df, text, frequent)
-        .orderBy(F.desc("tf"), "term")
+        statistics.orderBy(F.desc("tf"), "term")
         .limit(max_features)
-        .withColumn("idf", F.log((1 + rows).cast("double") / (1 + F.col("df"))) + 1.0)
+        .withColumn("idf", F.log((F.lit(1) + rows).cast("double") / (1 + F.col("df"))) + 1.0)
     )
 
 
@@ -111,19 +115,27 @@ class TfidfModel:
         if not 0 < max_features <= MAX_VOCABULARY:
             raise ValueError(f"max_features must lie in 1..{MAX_VOCABULARY}")
         frequent = _frequent_words(df, text, max_features)
-        # at most max_features rows reach the driver
-        top = _top_terms(df, text, max_features, frequent).select("term", "idf").collect()
+        model = cls.of_terms(_top_terms(df, text, max_features, frequent), sublinear)
         if frequent is not None:
             frequent.unpersist()
-        found = sorted((r.term, r.idf) for r in top)
+        return model
+
+    @classmethod
+    def of_terms(cls, top: DataFrame, sublinear: bool) -> TfidfModel:
+        """The model of a vocabulary (term, idf), whose size bounds what reaches the driver."""
+        found = sorted((r.term, r.idf) for r in top.select("term", "idf").collect())
         return cls(tuple(t for t, _ in found), tuple(w for _, w in found), sublinear)
 
     def transform(self, df: DataFrame, text: str, out: str = "vec") -> DataFrame:
         """Append ``out``: struct of term positions and unit-length weights; no known term gives empty arrays."""
+        return self.transform_terms(df.withColumn("_terms", weighted_terms(F.col(text))), "_terms", out).drop("_terms")
+
+    def transform_terms(self, df: DataFrame, terms: str, out: str = "vec") -> DataFrame:
+        """As :meth:`transform`, for a column of terms, repeated as often as they occur."""
         if not self.terms:
             empty = F.struct(F.array().cast("array<int>").alias("idx"), F.array().cast("array<double>").alias("w"))
             return df.withColumn(out, empty)
-        counted = self._counter.transform(df.withColumn("_terms", weighted_terms(F.col(text))))
+        counted = self._counter.copy({self._counter.inputCol: terms}).transform(df)
         counts = F.unwrap_udt("_counts")
         raw = F.zip_with(counts["indices"], counts["values"], self._weight)
         unit = bind(
@@ -133,9 +145,7 @@ class TfidfModel:
                 lambda norm: F.transform(w, lambda x: x / norm),
             ),
         )
-        return counted.withColumn(out, F.struct(counts["indices"].alias("idx"), unit.alias("w"))).drop(
-            "_terms", "_counts"
-        )
+        return counted.withColumn(out, F.struct(counts["indices"].alias("idx"), unit.alias("w"))).drop("_counts")
 
     @cached_property
     def _counter(self) -> CountVectorizerModel:

@@ -761,3 +761,7 @@ SQL["fitted_hybrid_intent"] = f"""WITH RECURSIVE {DOCS}, {regression('docs', 'do
 SQL["system_comparison_fitted"] = (
     f"{variants(True)} SELECT system, " + ", ".join(f'round("{c}", 4) AS "{c}"' for c in HEADLINE) + " FROM summary"
 )
+# what was saved gives what was not
+SQL["triage_from_saved"] = SQL["triage"]
+SQL["saved_index_merged"] = SQL["topk_exemplars"]
+SQL["lr_from_saved"] = SQL["lr_intent"]

@@ -23,11 +23,13 @@ from relaydesk.operators.logistic import IntentModel
 from relaydesk.operators.majority import predict_majority
 from relaydesk.operators.retrieve import ReplyIndex, add_exemplars
 from relaydesk.operators.reply import nearest_reply as with_nearest_reply
+from relaydesk.operators.saved_index import SavedIndex
 from relaydesk.operators.tfidf import TfidfModel, vocabulary
 from relaydesk.packs.languages import LANGUAGES, LABELS
 from relaydesk.packs.support import SUPPORT
 from relaydesk.packs.tables import policy_rule_table
 from relaydesk.plans import evaluate
+from relaydesk.plans.saved import load_system, save_system
 from relaydesk.plans.triage import System, add_escalation, add_intent, triage as run_triage
 from relaydesk.session import fresh_dir
 from relaydesk.sources import tables as io
@@ -776,3 +778,46 @@ def cases_csv(spark: SparkSession, folder: str) -> DataFrame:
         ),
     )
     return back.select("doc_id", F.md5("text").alias("text_md5"), "lang", "true_escalate")
+
+
+# ---------------------------------------------------------------- saved systems
+
+
+def _grown(spark: SparkSession, folder: str) -> str:
+    """Folder of an index that got the replies of earlier and later conversations one after the other."""
+    path = fresh_dir(spark, "index")
+    replies = mined(spark, folder)
+    middle = replies.agg(F.expr("percentile_approx(conv_id, 0.5)").alias("at")).first()["at"] or 0
+    index = SavedIndex(spark, path)
+    index.add(replies.where(F.col("conv_id") <= middle))
+    index.add(replies.where(F.col("conv_id") > middle))
+    return path
+
+
+@query
+def triage_from_saved(spark: SparkSession, folder: str) -> DataFrame:
+    """Triage by a system that was saved and loaded, with an index that grew by two segments."""
+    path = fresh_dir(spark, "system")
+    save_system(spark, System("proposed", LANGUAGES), path, _grown(spark, folder))
+    system = load_system(spark, path, LANGUAGES)
+    return _flat_triage(run_triage(documents(spark, folder, "doc_id", "text"), system))
+
+
+@query
+def saved_index_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The closest replies by an index whose segments were merged."""
+    index = SavedIndex(spark, _grown(spark, folder))
+    index.merge()
+    index.vacuum()
+    docs = documents(spark, folder, "doc_id", "text").withColumn("cleaned_text", clean(F.col("text")))
+    return _exemplar_rows(add_exemplars(docs, "cleaned_text", index.load(), 3), "doc_id")
+
+
+@query
+def lr_from_saved(spark: SparkSession, folder: str) -> DataFrame:
+    """The regression saved with its system and loaded again."""
+    path = fresh_dir(spark, "system")
+    docs = documents(spark, folder, "doc_id", "text", "lang")
+    save_system(spark, System("simple", LANGUAGES).fit(docs, "text", "lang", "doc_id"), path)
+    out = add_intent(docs.withColumn("cleaned_text", clean(F.col("text"))), load_system(spark, path, LANGUAGES))
+    return out.select("doc_id", "lang", "intent", rounded("intent_confidence", places=4))
