@@ -30,6 +30,8 @@ from relaydesk.operators.tfidf import TfidfModel, double_array
 MAX_BROADCAST_POSTINGS = 4_000_000
 MAX_BROADCAST_TEXT = 256 * 1024 * 1024
 POSTINGS_PER_PIECE = 20_000
+# replies a message may touch nothing of for each posting it does, if all are summed
+DENSE = 32
 _PLACES = 9
 _MARGIN = 1e-7
 
@@ -152,9 +154,13 @@ def _best(idx, w, own, kb_ids, start, place, weight, k: int) -> tuple[list, list
         return [], []
     at = np.concatenate([place[start[t] : start[t + 1]] for t in idx])
     parts = np.concatenate([weight[start[t] : start[t + 1]] * x for t, x in zip(idx, w)])
-    # only replies that share a term are touched
-    hit, where = np.unique(at, return_inverse=True)
-    scores = np.bincount(where, parts, len(hit))
+    if DENSE * len(at) >= len(kb_ids):  # a sum for every reply costs less than sorting the postings
+        scores = np.bincount(at, parts, len(kb_ids))
+        hit = np.flatnonzero(scores)
+        scores = scores[hit]
+    else:  # only replies that share a term are touched
+        hit, where = np.unique(at, return_inverse=True)
+        scores = np.bincount(where, parts, len(hit))
     keep = scores != 0
     if own is not None:
         keep &= kb_ids[hit] != int(own)

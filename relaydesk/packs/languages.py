@@ -65,7 +65,7 @@ LANGUAGES = Pack(
         apology="We understand.",
         step_in="Please DM us the text number.",
         specialist="A person has to read this (%s), please DM us the text number.",
-        offer="DM us if you need further assistance!",
+        offer="Not clear yet? DM us the line number.",
         templates={
             "en": "We are glad to help in English. Go to settings > language, or DM us.",
             "fr": "We are glad to help in French. Go to settings > language.",

@@ -47,9 +47,9 @@ def test_unknown_intent_gets_the_default_template(spark):
 @pytest.mark.parametrize(
     "text, out",
     [
-        ("Try this...", "Try this. DM us if you need further assistance!"),
-        ("Try this", "Try this. DM us if you need further assistance!"),
-        ("dm us.", "dm us. DM us if you need further assistance!"),
+        ("Try this...", "Try this. Still stuck afterwards? DM us and we go on together."),
+        ("Try this", "Try this. Still stuck afterwards? DM us and we go on together."),
+        ("dm us.", "dm us. Still stuck afterwards? DM us and we go on together."),
         ("Please DM us.", "Please DM us."),
         ("Send a Direct Message.", "Send a Direct Message."),
     ],

@@ -63,7 +63,7 @@ def test_fitted_variants(spark, training, kb, mode):
     if mode == "simple":
         assert rows[1].reply == "Look at battery health..." and rows[2].reply == "Look at battery health..."
     if mode in ("proposed", "anything else"):
-        assert rows[1].reply == "Look at battery health. DM us if you need further assistance!"
+        assert rows[1].reply == "Look at battery health. Still stuck afterwards? DM us and we go on together."
         assert rows[2].reply == SUPPORT.replies.templates[rows[2].intent]
 
 
