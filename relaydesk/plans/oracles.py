@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from relaydesk.packs import languages as pack
 from relaydesk.packs.languages import LANGUAGES
+from relaydesk.packs.phrases import SUPPORT_PHRASES
 from relaydesk.packs.support import SUPPORT
 
 W = r"[\p{L}\p{N}_]"
@@ -761,6 +762,56 @@ SQL["fitted_hybrid_intent"] = f"""WITH RECURSIVE {DOCS}, {regression('docs', 'do
 SQL["system_comparison_fitted"] = (
     f"{variants(True)} SELECT system, " + ", ".join(f'round("{c}", 4) AS "{c}"' for c in HEADLINE) + " FROM summary"
 )
+
+
+def _support(phrases: tuple[str, ...]) -> tuple[str, str]:
+    """SQL of the support pack on part names with phrases: decisions, and hits by rule. Texts are ASCII, as RE2's boundaries are."""
+    listed = "[" + ", ".join(map(q, phrases)) + "]"
+    pick = lambda at: f"{listed}[({at}) % {len(phrases)} + 1]"
+    t = "lower(cleaned)"
+    messages = f"""raw AS (SELECT p_partkey, p_name || ': ' || {pick('p_partkey')} || CASE WHEN p_partkey % 3 = 0
+            THEN ' and ' || {pick('p_partkey * 7 + 3')} ELSE '' END AS text FROM part),
+        msgs AS (SELECT *, {clean('text')} AS cleaned FROM raw)"""
+    labels, d = SUPPORT.labels, SUPPORT.intent_default
+    scores = ", ".join(
+        "1.5::DOUBLE * (" + " + ".join(f"len(regexp_extract_all({t}, {q(p)}))" for p in SUPPORT.intent_rules[x]) + f") AS s_{x}"
+        for x in labels
+    )
+    logits = ", ".join(f"(ln(1 / 7.0::DOUBLE) + 1.2::DOUBLE * s_{x}) / 0.85::DOUBLE AS l_{x}" for x in labels)
+    top = "greatest(" + ", ".join(f"l_{x}" for x in labels) + ")"
+    total = " + ".join(f"exp(l_{x} - top)" for x in labels)
+    name = "CASE " + " ".join(f"WHEN l_{x} = top THEN '{x}'" for x in labels) + " END"
+    arms = [
+        (hit(t, r.pattern), r.reason, tier.confidence, tier.risk_category) for tier in SUPPORT.tiers for r in tier.rules
+    ]
+    asked = f"(intent = '{d.intent}' AND NOT {hit(t, d.unless)})"
+    shown = {k: k.replace(r"\b", "").replace("(?:ed)?", "") for k in SUPPORT.keywords}
+    words_hit = "concat_ws(', ', " + ", ".join(f"CASE WHEN {hit(t, k)} THEN {q(n)} END" for k, n in shown.items()) + ")"
+    decisions = f"""WITH {messages}, scored AS (SELECT *, {scores} FROM msgs), logits AS (SELECT *, {logits} FROM scored),
+        topped AS (SELECT *, {top} AS top FROM logits),
+        named AS (SELECT *, {name} AS intent, 1 / ({total}) AS intent_confidence, {words_hit} AS keywords FROM topped)
+        SELECT p_partkey, {entity_list('text', SUPPORT.devices)} AS devices, {entity_list('text', SUPPORT.os_versions)} AS os_versions,
+            intent, round(intent_confidence, 6) AS intent_confidence, keywords <> '' AS keyword_escalate,
+            CASE WHEN keywords <> '' THEN 'Simple keyword match triggered: ' || keywords || '.'
+                 ELSE 'No high-risk keyword found; routed to standard handling.' END AS keyword_reason,
+            {_decision([*arms, (asked, d.reason, d.confidence, d.risk_category)], SUPPORT.safe_reason)} FROM named"""
+    kinds = {
+        "tier": [r.pattern for tier in SUPPORT.tiers for r in tier.rules],
+        "keyword": SUPPORT.keywords,
+        "intent": [p for x in labels for p in SUPPORT.intent_rules[x]],
+        "device": SUPPORT.devices,
+        "os_version": SUPPORT.os_versions,
+    }
+    counted = " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, {i}::BIGINT AS rule, count(*) FILTER ({hit(t, p)}) AS n_hits, "
+        f"count(*) FILTER (NOT {hit(t, p)}) AS n_misses FROM msgs"
+        for kind, patterns in kinds.items()
+        for i, p in enumerate(patterns)
+    )
+    return decisions, f"WITH {messages} {counted}"
+
+
+SQL["support_policy"], SQL["support_rule_hits"] = _support(SUPPORT_PHRASES)
 # what was saved gives what was not
 SQL["triage_from_saved"] = SQL["triage"]
 SQL["saved_index_merged"] = SQL["topk_exemplars"]

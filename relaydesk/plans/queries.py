@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from relaydesk.functions.entities import entities
 from relaydesk.functions.overlap import add_overlap_scores
+from relaydesk.functions.regex import portable
 from relaydesk.functions.text import clean, keep_if, tokens
 from relaydesk.operators import agreement as agree
 from relaydesk.operators import conversations as conv
@@ -26,6 +27,7 @@ from relaydesk.operators.reply import nearest_reply as with_nearest_reply
 from relaydesk.operators.saved_index import SavedIndex
 from relaydesk.operators.tfidf import TfidfModel, vocabulary
 from relaydesk.packs.languages import LANGUAGES, LABELS
+from relaydesk.packs.phrases import SUPPORT_PHRASES
 from relaydesk.packs.support import SUPPORT
 from relaydesk.packs.tables import policy_rule_table
 from relaydesk.plans import evaluate
@@ -321,6 +323,58 @@ def support_intent(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("p_partkey", "intent", rounded("intent_confidence"), "escalation.risk_category", "reply")
 
 
+def support_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Part names with one phrase, or two in every third row."""
+    phrases, n = F.array(*map(F.lit, SUPPORT_PHRASES)), len(SUPPORT_PHRASES)
+    pick = lambda at: F.get(phrases, (at % n).cast("int"))
+    key = F.col("p_partkey")
+    second = F.when(key % 3 == 0, F.concat(F.lit(" and "), pick(key * 7 + 3))).otherwise("")
+    parts = spread(read_table(spark, folder, "part", ["p_partkey", "p_name"]))
+    return parts.select("p_partkey", F.concat("p_name", F.lit(": "), pick(key), second).alias("text"))
+
+
+@query
+def support_policy(spark: SparkSession, folder: str) -> DataFrame:
+    """Entities, intent, keyword and tiered decision of the support pack, where every rule has hits."""
+    rows = support_messages(spark, folder).withColumns(
+        {"cleaned_text": clean(F.col("text")), "entities": entities(F.col("text"), SUPPORT.devices, SUPPORT.os_versions)}
+    )
+    simple = add_escalation(rows, System("simple", SUPPORT)).withColumnRenamed("escalation", "by_keyword")
+    out = add_escalation(add_intent(simple, System("proposed", SUPPORT)), System("proposed", SUPPORT))
+    return out.select(
+        "p_partkey",
+        F.array_join("entities.devices", "|").alias("devices"),
+        F.array_join("entities.os_versions", "|").alias("os_versions"),
+        "intent",
+        rounded("intent_confidence"),
+        F.col("by_keyword.escalate").alias("keyword_escalate"),
+        F.col("by_keyword.stated_reason").alias("keyword_reason"),
+        *[f"escalation.{f}" for f in rules.DECISION_FIELDS],
+    )
+
+
+@query
+def support_rule_hits(spark: SparkSession, folder: str) -> DataFrame:
+    """How many messages each pattern of the support pack is found in."""
+    lowered = F.lower(clean(F.col("text")))
+    packs = {
+        "tier": [r.pattern for t in SUPPORT.tiers for r in t.rules],
+        "keyword": list(SUPPORT.keywords),
+        "intent": [p for patterns in SUPPORT.intent_rules.values() for p in patterns],
+        "device": list(SUPPORT.devices),
+        "os_version": list(SUPPORT.os_versions),
+    }
+    hits = [
+        F.struct(F.lit(kind).alias("kind"), F.lit(i).cast("long").alias("rule"), lowered.rlike(portable(p)).alias("hit"))
+        for kind, patterns in packs.items()
+        for i, p in enumerate(patterns)
+    ]
+    # more patterns than this make too large a function for one stage
+    parts = [support_messages(spark, folder).select(F.inline(F.array(*hits[i : i + 30]))) for i in range(0, len(hits), 30)]
+    found = reduce(DataFrame.unionByName, parts)
+    return found.groupBy("kind", "rule").agg(F.count_if("hit").alias("n_hits"), F.count_if(~F.col("hit")).alias("n_misses"))
+
+
 @query
 def tfidf_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder, "doc_id", "text")

@@ -1,5 +1,6 @@
 import pytest
 
+from relaydesk.plans.queries import REGISTRY
 from relaydesk.packs import tables
 from relaydesk.packs.languages import LANGUAGES
 from relaydesk.packs.support import SUPPORT
@@ -38,3 +39,12 @@ def test_number_of_rules_is_checked(spark, monkeypatch):
             tables.policy_rule_table(spark, SUPPORT),
             tables.template_table(spark, SUPPORT),
         )
+
+
+def test_every_support_rule_has_hits_and_misses(spark):
+    out = REGISTRY["support_rule_hits"](spark, "/root/testdata/sf0.001").toPandas()
+    kinds = {"tier": sum(len(t.rules) for t in SUPPORT.tiers), "keyword": len(SUPPORT.keywords), "device": len(SUPPORT.devices)}
+    for kind, n in kinds.items():
+        assert (out.kind == kind).sum() == n
+    missed = out[(out.n_hits == 0) | (out.n_misses == 0)]
+    assert missed.empty, missed.to_string()
