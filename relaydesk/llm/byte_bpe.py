@@ -98,6 +98,8 @@ class Encoder:
         pair = (left, right)
         found = self.beside.get(pair)
         if found is None:
+            if len(self.beside) >= REMEMBERED:
+                self.beside.clear()
             found = self.beside[pair] = self._undo(left, right)
         return found
 
@@ -213,7 +215,8 @@ class ByteBpe:
                 [encoder.encode(t or "") for part in _sliced(texts) for t in part.to_pylist()], pa.binary()
             )
 
-        return ids(text.cast("string"))
+        # so that the plan runs it once, however many columns are made of the ids
+        return ids.asNondeterministic()(text.cast("string"))
 
     def decode(self, ids: Column) -> Column:
         """The bytes that the ids stand for."""
