@@ -133,10 +133,13 @@ def design(own: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.concatenate([np.ones((len(own), 1)), own, before, after], axis=1)
 
 
-def marginals(good: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marginals(
+    good: np.ndarray, pairs: np.ndarray, counts: np.ndarray, by_document: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Probability of good by line, sums of the pair probabilities (2 x 2), and log Z by document.
 
-    ``good`` is each line's potential of the label good; bad has 0. All
+    ``good`` is each line's potential of the label good; bad has 0. The pairs
+    of a document are summed with its weight ``by_document``, or 1. All
     documents take their steps together; the longer ones stay longer.
     """
     order = np.argsort(-counts, kind="stable")
@@ -164,30 +167,48 @@ def marginals(good: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> tuple[
     at = np.flatnonzero(inner)
     ahead = backward[at + 1]
     ahead[:, 1] += good[at + 1]
-    both = np.exp(forward[at][:, :, None] + pairs + ahead[:, None, :] - by_line[at][:, None, None]).sum(axis=0)
+    both = np.exp(forward[at][:, :, None] + pairs + ahead[:, None, :] - by_line[at][:, None, None])
+    if by_document is not None:
+        both *= np.repeat(by_document, counts)[at][:, None, None]
+    both = both.sum(axis=0)
     return share, both, z
 
 
+def objective(
+    theta: np.ndarray, x: np.ndarray, counts: np.ndarray, labels: np.ndarray, by_document: np.ndarray, ridge: float
+) -> tuple[float, np.ndarray]:
+    """Weighted log-likelihood of labellings that are all good or all bad, less the ridge, and its gradient.
+
+    ``theta`` holds the weights of the columns of ``x``, then the four of label
+    pairs. The log-likelihood of a document counts ``by_document`` times.
+    """
+    w, pairs = theta[:-4], theta[-4:].reshape(2, 2)
+    good = x @ w
+    share, both, z = marginals(good, pairs, counts, by_document)
+    truth = np.repeat(labels, counts).astype(np.float64)
+    steps = by_document * (counts - 1)
+    observed = np.diag([steps[labels == 0].sum(), steps[labels == 1].sum()])
+    own = np.add.reduceat(good * truth, np.cumsum(counts) - counts) + (counts - 1) * np.diag(pairs)[labels]
+    value = by_document @ (own - z) - ridge / 2 * theta @ theta
+    by_line = np.repeat(by_document, counts)
+    return value, np.concatenate([x.T @ (by_line * (truth - share)), (observed - both).ravel()]) - ridge * theta
+
+
 def train(
     features: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = 200, rate: float = 0.1, ridge: float = 1e-3
 ) -> Field:
-    """Maximum likelihood with a ridge, by Adam over all documents at once."""
+    """Maximum weighted likelihood with a ridge, by Adam over all documents at once.
+
+    Each label weighs as much as the other, and a document as much as any of
+    its label: the likelihood of its labelling is taken per line.
+    """
     mean, scale = features.mean(axis=0), features.std(axis=0) + 1e-6
     x = design((features - mean) / scale, counts)
-    truth = np.repeat(labels, counts).astype(np.float64)
-    observed = np.zeros((2, 2))
-    for value in (0, 1):
-        observed[value, value] = (counts[labels == value] - 1).sum()
-    # each label weighs as much as the other, each document as much as any
-    by_document = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
-    weight = np.repeat(by_document / counts, counts)
+    by_document = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum())) / counts
     theta = np.zeros(x.shape[1] + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    lines = len(x)
     for step in range(1, steps + 1):
-        w, pairs = theta[:-4], theta[-4:].reshape(2, 2)
-        share, both, _ = marginals(x @ w, pairs, counts)
-        slope = np.concatenate([x.T @ (weight * (truth - share)), ((observed - both) / lines).ravel()]) - ridge * theta
+        _, slope = objective(theta, x, counts, labels, by_document, ridge)
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     return Field(mean, scale, theta[:-4], theta[-4:].reshape(2, 2))
@@ -200,15 +221,24 @@ def fit(
     text: str = "text",
     label: str = "quality",
     rows: int = 1500,
-    lines: int = 48,
+    lines: int = 120_000,
 ) -> Field | None:
-    """Train on at most ``rows`` labelled documents of each label, none held out, and ``lines`` lines of each.
+    """Train on at most ``rows`` labelled documents of each label, none held out, with all their lines.
 
-    Of a longer document ``lines`` lines that follow each other are taken, from
-    its middle. So at most 2 * rows * lines rows of features reach the driver.
-    None if one of the labels has no row.
+    At most ``lines`` rows of features reach the driver: documents are taken
+    whole, the shorter ones first, while they fit in, and the rest is left out.
+    A key that is labelled 0 and 1 gives a document of each label. None if one
+    of the labels has no row.
     """
     sample = labelled_sample(docs, labels, label, rows, key, text).select("_text", "_label")
+    sizes = sample.select(F.regexp_count("_text", F.lit("\n")).alias("n")).groupBy("n").count().collect()
+    longest, total = 0, 0
+    for size, n in sorted((r["n"] + 1, r["count"]) for r in sizes):
+        total += size * n
+        if total > lines:
+            break
+        longest = size
+    sample = sample.where(F.regexp_count("_text", F.lit("\n")) < longest)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = LineReader()
@@ -216,10 +246,8 @@ def fit(
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)
                 features, _, counts = reader.read(part.column(0).to_pylist())
-                out = []
-                for start, n in zip(np.cumsum(counts) - counts, counts):
-                    skip = max(0, (n - lines) // 2)
-                    out.append(features[start + skip : start + skip + min(n, lines)].ravel().tolist())
+                ends = np.cumsum(counts)
+                out = [features[end - n : end].ravel() for end, n in zip(ends, counts)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out, pa.list_(pa.float64())), part.column(1)], ["features", "label"]
                 )

@@ -1,6 +1,7 @@
 """Toxicity grammar and quality field: rules, brute force and held-out accuracy."""
 
 import itertools
+import zlib
 
 import numpy as np
 import pytest
@@ -103,6 +104,56 @@ def test_marginals_equal_a_sum_over_all_labellings():
     assert np.allclose(both, expected_both)
 
 
+def test_gradient_is_that_of_the_objective():
+    draw = np.random.default_rng(5)
+    counts, labels = np.array([3, 1, 4, 2, 6]), np.array([1, 0, 0, 1, 1])
+    x, theta, by_document = draw.normal(size=(counts.sum(), 5)), draw.normal(size=9), draw.uniform(0.1, 2, 5)
+    value, slope = quality.objective(theta, x, counts, labels, by_document, 0.1)
+    expected = -0.05 * theta @ theta
+    for d, (n, end) in enumerate(zip(counts, np.cumsum(counts))):
+        good, pairs = x[end - n : end] @ theta[:5], theta[5:].reshape(2, 2)
+        scores = {
+            ls: good @ ls + sum(pairs[a, b] for a, b in zip(ls, ls[1:])) for ls in itertools.product((0, 1), repeat=int(n))
+        }
+        expected += by_document[d] * (scores[(int(labels[d]),) * n] - np.log(np.exp(list(scores.values())).sum()))
+    assert np.isclose(value, expected)
+    for i, step in enumerate(np.eye(9) * 1e-5):
+        up, down = (quality.objective(theta + s, x, counts, labels, by_document, 0.1)[0] for s in (step, -step))
+        assert np.isclose(slope[i], (up - down) / 2e-5, rtol=1e-5, atol=1e-7)
+
+
+def test_score_is_the_mean_of_enumerated_marginals(spark):
+    draw = np.random.default_rng(6)
+    size = 1 + 3 * quality.FEATURES
+    field = quality.Field(
+        draw.normal(size=quality.FEATURES), draw.uniform(0.5, 2, quality.FEATURES), draw.normal(size=size), draw.normal(size=(2, 2))
+    )
+    texts = ["One line.", "a b\n\nC 1!!\nlast line here", "", "\n\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality.score_documents(docs, field).collect()}
+    for i, t in enumerate(texts):
+        features, length, counts = quality.LineReader().read([t])
+        good = field.potentials(features, counts)
+        seen, total = np.zeros(len(good)), 0.0
+        for ls in itertools.product((0, 1), repeat=len(good)):
+            weight = np.exp(good @ ls + sum(field.pairs[a, b] for a, b in zip(ls, ls[1:])))
+            seen, total = seen + weight * np.array(ls), total + weight
+        assert np.isclose(got[i], np.average(seen / total, weights=length + 1e-9))
+
+
+def test_training_takes_whole_documents_that_fit_in(spark, monkeypatch):
+    rows = [(i, "x y\n" * (i - 1) + "end", i % 2) for i in range(1, 40)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    taken = {}
+    monkeypatch.setattr(quality, "train", lambda features, counts, truth: taken.update(counts=counts, truth=truth))
+    quality.fit(docs, labels, lines=100)
+    learned = [n for n in range(1, 40) if zlib.crc32(str(n).encode()) % 5]
+    expected = [n for i, n in enumerate(learned) if sum(learned[: i + 1]) <= 100]
+    assert sorted(taken["counts"].tolist()) == expected
+    assert (taken["truth"] == taken["counts"] % 2).all()
+
+
 def test_line_features_do_not_depend_on_the_batch():
     reader = quality.LineReader()
     texts = ["a b a\n\nB! B! 12", "", "x\ny", "Ünï | codé ###\n"]
