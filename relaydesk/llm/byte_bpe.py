@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from relaydesk.llm.common import per_process
 
-# pieces whose ids a worker remembers; all are forgotten when there are more
+# pieces whose ids a worker remembers, of at most so many characters; all are forgotten when there are more
 REMEMBERED = 800_000
+REMEMBERED_LENGTH = 200
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -176,7 +177,9 @@ class _Remembered(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.encoder.encode_piece(piece.encode())
-        found = self[piece] = b"".join(i.to_bytes(4, "little") for i in ids)
+        found = b"".join(i.to_bytes(4, "little") for i in ids)
+        if len(piece) <= REMEMBERED_LENGTH:
+            self[piece] = found
         return found
 
 
@@ -232,6 +235,19 @@ class ByteBpe:
 
         return content(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """Struct of ids and content: a text's ids, and the bytes decoded from them, in one worker."""
+        shared, name = self._shared, self._name
+
+        @F.arrow_udf("ids binary, content binary")
+        def there_and_back(texts: pa.Array) -> pa.Array:
+            encoder = _ready(name, shared)
+            ids = [encoder.encode(t or "") for part in _sliced(texts) for t in part.to_pylist()]
+            content = [encoder.decode(memoryview(i).cast("I")) for i in ids]
+            return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(content, pa.binary())], ["ids", "content"])
+
+        return there_and_back.asNondeterministic()(text.cast("string"))
+
     @staticmethod
     def count(ids: Column) -> Column:
         """Number of ids; 0 for null."""

@@ -85,12 +85,12 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     codec = byte_bpe.ByteBpe(
         spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
-    ids = table(spark, folder, "documents").select("doc_id", codec.encode(F.col("text")).alias("ids"))
-    return ids.select(
+    made = table(spark, folder, "documents").select("doc_id", codec.round_trip(F.col("text")).alias("made"))
+    return made.select(
         "doc_id",
-        codec.count(F.col("ids")).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(codec.decode(F.col("ids")), 256).alias("decoded_sha256"),
+        codec.count(F.col("made.ids")).alias("n_tokens"),
+        F.sha2("made.ids", 256).alias("ids_sha256"),
+        F.sha2("made.content", 256).alias("decoded_sha256"),
     )
 
 
