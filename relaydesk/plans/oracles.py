@@ -632,6 +632,7 @@ SQL: dict[str, str] = {
     "first_turns": f"WITH {PAIRS} SELECT conv_id, inquiry, resolution FROM pairs",
     "kb_build": f"WITH {replies()} SELECT * FROM kb",
     "limit_after_dedup": f"WITH {replies(50)} SELECT * FROM kb",
+    "stream_kb_build": f"WITH {replies()} SELECT * FROM kb",
     "kb_json": f"WITH {replies()} SELECT * FROM kb",
     "dedup_keep_first": """SELECT doc_id, source, n_chars FROM documents
         QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",

@@ -36,6 +36,7 @@ from relaydesk.plans.triage import System, add_escalation, add_intent, triage as
 from relaydesk.session import fresh_dir
 from relaydesk.sources import tables as io
 from relaydesk.sources.tables import read_table, spread
+from relaydesk.streaming.mining import read_mined, write_pieces
 from relaydesk.streaming.stream import read_messages, read_triage, write_triage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -584,6 +585,23 @@ def stream_triage_joined(spark: SparkSession, folder: str) -> DataFrame:
     return _streamed(spark, folder, replace(system, index=system.index.with_broadcast_limit(0)))
 
 
+@query
+def stream_kb_build(spark: SparkSession, folder: str) -> DataFrame:
+    """Replies mined from a stream that sees every conversation in three parts and is started again for each."""
+    heard = turns(spark, folder)
+    ends = heard.agg(F.min("turn").alias("low"), F.max("turn").alias("high")).first()
+    incoming, out, state = (fresh_dir(spark, name) for name in ("turns", "pieces", "mining-state"))
+    third = 0 if ends["low"] is None else (ends["high"] - ends["low"]) // 3 + 1
+    part = F.lit(0) if third == 0 else F.floor((F.col("turn") - ends["low"]) / third)
+    for i in range(3):
+        # the last part also takes turns without a number
+        chosen = part == i if i < 2 else ~F.coalesce(part < 2, F.lit(False))
+        heard.where(chosen).write.parquet(f"{incoming}/part={i}")
+        stream = read_messages(spark, f"{incoming}/part=*", heard.schema, files_per_trigger=1_000_000)
+        write_pieces(stream, out, state).awaitTermination()
+    return read_mined(spark, out)
+
+
 # ---------------------------------------------------------------- metrics
 
 
