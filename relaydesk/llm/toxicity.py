@@ -1,11 +1,13 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Words are mapped to symbols: insult, harm, intent, target, negation, report,
-clause end, or none of these. Four transducers rewrite the symbols one after
-the other and are composed into a single machine: negation and reported speech
-weaken what stands in their scope, a target strengthens an insult beside it,
-and intent followed by harm becomes a threat. Every symbol that the machine
-puts out has a weight, and a document's score is that of all its matched
+copula, clause end, or none of these. Five transducers rewrite the symbols one
+after the other and are composed into a single machine: negation and reported
+speech weaken what stands in their scope, a target strengthens an insult beside
+it, intent followed by harm becomes a threat, and an insult is a statement
+(after a copula or another insult), an address (a clause of its own) or merely
+named. Every symbol that the machine puts out has a weight. A clause has the
+weight of its strongest match, and a document's score is that of its matched
 clauses: 1 - the product of (1 - weight).
 
 The insult words, word stems among them, and the weights are learned from
@@ -40,14 +42,17 @@ HARM = (
     "kill hurt beat stab shoot destroy murder attack burn töten umbringen schlagen verletzen tuer frapper blesser "
     "brûler matar golpear herir quemar"
 ).split()
+COPULA = "am is are was were be been bist ist bin sind seid war est es suis sommes êtes sont était eres soy somos son era".split()
 INSULTS = "idiot moron scum loser trash stupid worthless pathetic disgusting clown idiote arschloch dummkopf abschaum connard imbécile ordure idiota imbécil estúpido basura".split()
 
 # Symbols. The first line comes from words; the others are put out by the transducers.
-WORD, END, INSULT, HARMS, INTENDS, TARGETS, NEGATES, REPORTS = range(8)
-NEGATED, QUOTED, DIRECTED, THREAT, DENIED_HARM, QUOTED_HARM = range(8, 14)
-SYMBOLS = 14
+WORD, END, INSULT, HARMS, INTENDS, TARGETS, NEGATES, REPORTS, COPULAS = range(9)
+INPUTS = 9
+NEGATED, QUOTED, DIRECTED, THREAT, DENIED_HARM, QUOTED_HARM, STATED, ADDRESSED = range(INPUTS, 17)
+SYMBOLS = 17
 #: Weight of a symbol before labels are seen, and for how many labelled documents that counts.
 PRIOR = {INSULT: 0.9, DIRECTED: 0.97, NEGATED: 0.6, QUOTED: 0.6, THREAT: 0.7, DENIED_HARM: 0.05, QUOTED_HARM: 0.1}
+PRIOR |= {STATED: 0.95, ADDRESSED: 0.95}
 PRIOR_ROWS = 4.0
 
 STEMS = range(3, 10)
@@ -98,13 +103,25 @@ def threat() -> Transducer:
     return _scope(INTENDS, 4, {HARMS: THREAT})
 
 
+def insult() -> Transducer:
+    """What kind of insult a clause has; a lone word inside a clause passes unchanged.
+
+    States: 0 at the start of a clause, 1 inside, 2 after an insult that began
+    it, 3 after another one, 4 to 6 as many words, less 3, still in a copula's reach.
+    """
+    arcs = {(s, COPULAS): (6, COPULAS) for s in range(7)}
+    arcs |= {(0, INSULT): (2, INSULT), (2, END): (0, ADDRESSED), (1, INSULT): (3, INSULT)}
+    arcs |= {(s, INSULT): (3, STATED) for s in (2, 3, 4, 5, 6)}
+    return Transducer(arcs, {0: 1, 1: 1, 2: 1, 3: 1, 4: 1, 5: 4, 6: 5})
+
+
 def compose(parts: list[Transducer]) -> tuple[list[list[int]], list[list[int]]]:
     """One machine that does what the parts do in turn: next state and output by state and symbol."""
     start = (0,) * len(parts)
     number, queue, following, outputs = {start: 0}, [start], [], []
     for states in queue:
         row, out = [], []
-        for symbol in range(8):
+        for symbol in range(INPUTS):
             after, passed = [], symbol
             for part, state in zip(parts, states):
                 state, passed = part.step(state, passed)
@@ -135,10 +152,10 @@ class Matcher:
 
     def __init__(self, grammar: Grammar):
         self.grammar = grammar
-        self.following, self.outputs = compose([negation(), reported_speech(), target(), threat()])
+        self.following, self.outputs = compose([negation(), reported_speech(), target(), threat(), insult()])
         self.weights = [grammar.weights.get(s, 0.0) for s in range(SYMBOLS)]
         self.known: dict[str, tuple[int, float]] = {}
-        for words, symbol in ((INTENT, INTENDS), (TARGET, TARGETS), (NEGATION, NEGATES), (REPORT, REPORTS), (HARM, HARMS)):
+        for words, symbol in ((COPULA, COPULAS), (INTENT, INTENDS), (TARGET, TARGETS), (NEGATION, NEGATES), (REPORT, REPORTS), (HARM, HARMS)):
             self.known |= dict.fromkeys(words, (symbol, 1.0))
         self.known |= {word: (INSULT, p) for word, p in grammar.words.items()}
         self.fixed, self.stems = dict(self.known), grammar.stems
@@ -155,26 +172,41 @@ class Matcher:
         self.known[token] = found
         return found
 
-    def matches(self, text: str) -> list[tuple[int, float]]:
-        """(symbol, lexicon weight) of every match; most texts have none and stop at the lookup."""
+    def _run(self, text: str) -> list[list[tuple[int, float]]]:
+        """Matches by clause, for clauses that have one; most texts have none and stop at the lookup."""
         if len(self.known) > REMEMBERED:
             self.known = dict(self.fixed)
         known, look = self.known, self._look
         read = [known[t] if t in known else look(t) for t in TOKENS.findall(text.lower())]
         if not any(symbol in (INSULT, HARMS) for symbol, _ in read):
             return []
-        state, out, following, outputs = 0, [], self.following, self.outputs
-        for symbol, weight in read:
+        state, clause, out, following, outputs, lexicon = 0, [], [], self.following, self.outputs, 0.0
+        for symbol, weight in [*read, (END, 0.0)]:
             passed = outputs[state][symbol]
             state = following[state][symbol]
+            if symbol in (INSULT, HARMS):
+                lexicon = weight
             if self.weights[passed]:
-                out.append((passed, weight))
+                # a target after an insult, or the end of the clause, speaks for the word before it
+                clause.append((passed, lexicon))
+            if symbol == END and clause:
+                out.append(clause)
+                clause = []
         return out
 
+    def matches(self, text: str) -> list[tuple[int, float]]:
+        """(symbol, lexicon weight) of every match."""
+        return [match for clause in self._run(text) for match in clause]
+
+    def clauses(self, text: str) -> list[tuple[int, float]]:
+        """(symbol, weight) of the strongest match of every matched clause."""
+        weighed = [[(self.weights[symbol] * lexicon, symbol) for symbol, lexicon in clause] for clause in self._run(text)]
+        return [(symbol, weight) for weight, symbol in map(max, weighed)]
+
     def score(self, text: str) -> float:
         left = 1 - self.grammar.base
-        for symbol, weight in self.matches(text):
-            left *= 1 - self.weights[symbol] * weight
+        for _, weight in self.clauses(text):
+            left *= 1 - weight
         return min(1.0, max(0.0, 1 - left))
 
 
@@ -224,7 +256,8 @@ def fit(
     taken if so large a part of the documents that have it are toxic, counting
     only documents that the terms of earlier turns don't match. Only counts of
     at most ``candidates`` candidates and the taken terms reach the driver.
-    Without labelled toxic rows the given words stand.
+    A key that is labelled 0 and 1 gives a document of each label. Without
+    labelled toxic rows the given words stand.
     """
     sample = written(labelled_sample(docs, labels, label, rows, key, text).select("_text", "_label"), "labelled")
     known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("label")).count().collect()
@@ -293,8 +326,8 @@ def fit(
         matcher, counts = Matcher(grammar), Counter()
         for batch in batches:
             for content, value in zip(batch.column(0), batch.column(1).to_pylist()):
-                symbols = {symbol for symbol, _ in matcher.matches(content.as_py())} or {WORD}
-                # a document speaks for the weight of a symbol only if it has no other
+                symbols = {symbol for symbol, _ in matcher.clauses(content.as_py())} or {WORD}
+                # a document speaks for the weight of a symbol only if its clauses have no other
                 counts.update((symbol, value) for symbol in symbols if len(symbols) == 1)
         yield pa.RecordBatch.from_pydict(
             {

@@ -45,6 +45,46 @@ def test_clauses():
     assert score("you idiot") > score("an idiot") > score("not an idiot") > score("fine") == score("")
 
 
+def test_kinds_of_insults():
+    assert symbols("this is a stupid plan") == [toxicity.STATED]
+    assert symbols("what a stupid worthless plan") == [toxicity.INSULT, toxicity.STATED]
+    assert symbols("all calm. Idiot!") == [toxicity.INSULT, toxicity.ADDRESSED]
+    assert symbols("idiot") == symbols("idiot.") == [toxicity.INSULT, toxicity.ADDRESSED]
+    assert symbols("this is not stupid") == [toxicity.NEGATED]
+    clauses = toxicity.Matcher(toxicity.Grammar()).clauses
+    assert [s for s, _ in clauses("scum, idiot you. Fine. What an idiot")] == [toxicity.DIRECTED, toxicity.INSULT]
+
+
+def test_score_is_that_of_the_parts_one_after_the_other():
+    draw = np.random.default_rng(8)
+    grammar = toxicity.Grammar(words={"idiot": 0.9, "scum": 0.4}, stems={"mor": 0.7}, base=0.01)
+    matcher = toxicity.Matcher(grammar)
+    words = "idiot scum morons kill will you not said is a day .".split()
+    kind = dict(zip(words, [2, 2, 2, 3, 4, 5, 6, 7, 8, 0, 0, 1]))
+    lexicon = {"idiot": 0.9, "scum": 0.4, "morons": 0.7, "kill": 1.0}
+    parts = [toxicity.negation(), toxicity.reported_speech(), toxicity.target(), toxicity.threat(), toxicity.insult()]
+    seen = set()
+    for _ in range(2000):
+        text = draw.choice(words, size=draw.integers(0, 14)).tolist()
+        read = [kind[w] for w in text] + [toxicity.END]
+        for part in parts:
+            state, out = 0, []
+            for symbol in read:
+                state, passed = part.step(state, symbol)
+                out.append(passed)
+            read = out
+        left, best, own = 0.99, 0.0, 0.0
+        for i, symbol in enumerate(read):
+            word = text[i] if i < len(text) else "."
+            own = lexicon.get(word, own)  # of the last insult or harm
+            best = max(best, toxicity.PRIOR.get(symbol, 0.0) * own)
+            seen.add(symbol)
+            if word == ".":
+                left, best = left * (1 - best), 0.0
+        assert np.isclose(matcher.score(" ".join(text)), 1 - left)
+    assert seen == set(range(toxicity.SYMBOLS))
+
+
 def test_scores_of_odd_rows(spark):
     rows = [(1, None, 9.0), (2, "", 9.0), (3, "you idiot", 9.0), (3, "you idiot", 9.0), (None, "fine " * 50_000, 9.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score double")
