@@ -43,6 +43,16 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as make it no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def held_out(key: Column) -> Column:
     """True for the fifth of the rows from which no label is learned; a null key is not held out."""
     return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(False))
@@ -53,7 +63,9 @@ def labelled_sample(
 ) -> DataFrame:
     """At most ``rows`` documents of each label (0 and 1) as (key, text, label), none of them held out.
 
-    Rows are taken in order of a hash of the key. Only these keys, whose number
+    Rows are taken in order of a hash of the key. A key that is labelled both 0
+    and 1 gives a row for each of the two; a repeated row of ``docs`` is taken
+    with the first, beyond ``rows``. Only these keys, whose number
     ``rows`` bounds, are broadcast to the documents, so no text is shuffled.
     """
     known = labels.select(F.col(key), F.col(label).cast("int").alias("_label")).where(

@@ -36,6 +36,19 @@ def test_stages_keep_columns_and_take_odd_rows(spark, name, stage):
         assert None in kept and 9003 in kept  # a null id leads to nothing
 
 
+@pytest.mark.parametrize("name,stage", pipeline.STAGES[2:4])
+def test_stages_keep_what_columns_of_any_name_hold(spark, name, stage):
+    docs = odd(spark)
+    plain = sorted((tuple(r) for r in stage(spark, docs.where("doc_id is not null"), FOLDER).collect()), key=repr)
+    names = ["_row", "_ROWS", "_drop", "_pieces", "_stays", "_times", "_given", "_text", "_doc", "n_lines", "n_dropped"]
+    odder = docs.where("doc_id is not null").selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    out = stage(spark, odder, FOLDER)
+    assert out.columns == odder.columns
+    rows = out.collect()
+    assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+    assert sorted((tuple(r)[: len(docs.columns)] for r in rows), key=repr) == plain
+
+
 def test_ngram_dedup_drops_rows_not_ids(spark):
     copied, other = "an ordinary text of a few words that two rows share", "a clean text that no other row has at all"
     schema = "doc_id long, text string"
