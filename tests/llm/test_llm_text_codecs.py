@@ -49,6 +49,20 @@ def test_encoding_is_that_of_the_library_and_decodes_to_the_text(spark, library)
         assert bytes(row.back) == (row.text or "").encode()
 
 
+def test_round_trip_encodes_once(spark, library):
+    codec = byte_bpe.ByteBpe(spark, RANKS, public_tokenizers.PATTERN)
+    texts = [*TEXTS, "x" * (byte_bpe.REMEMBERED_LENGTH + 1)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    made = docs.select("text", codec.round_trip(F.col("text")).alias("made"))
+    made = made.select("text", "made.ids", "made.content", codec.count(F.col("made.ids")).alias("n"))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == plan.count("there_and_back(text") == 1
+    for row in made.collect():
+        expected = library.encode_ordinary(row.text or "")
+        assert np.frombuffer(row.ids, "<u4").tolist() == expected and row.n == len(expected)
+        assert bytes(row.content) == (row.text or "").encode()
+
+
 def test_no_rows_no_ids(spark):
     codec = byte_bpe.ByteBpe(spark, RANKS, public_tokenizers.PATTERN)
     empty = spark.createDataFrame([], "text string")
