@@ -1,10 +1,12 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
-from relaydesk.functions.overlap import add_overlap_scores, lcs_length
+from relaydesk.functions.overlap import PIECE, add_overlap_scores, in_pieces, lcs_length
 
 
 def _dp(a, b):
@@ -63,3 +65,16 @@ def test_subset_of_scores_and_null_texts(spark):
     out = add_overlap_scores(df, "h", "r", ("rougeL",))
     assert out.columns == ["h", "r", "rougeL"]
     assert [r.rougeL for r in out.collect()] == [0.0, 1.0]
+
+
+def test_only_a_piece_of_a_batch_becomes_objects():
+    rows = [["a"] * 200] * (20 * PIECE)
+    column = pa.array(rows)
+    tracemalloc.start()
+    assert sum(len(r) for r in in_pieces(column)) == 200 * len(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.start()
+    everything = column.to_pylist()
+    assert peak < tracemalloc.get_traced_memory()[1] / 5
+    tracemalloc.stop()
+    assert list(in_pieces(column, 7)) == everything and list(in_pieces(column.slice(0, 0))) == []
