@@ -125,3 +125,14 @@ def test_large_tables_are_not_reshuffled(spark, monkeypatch):
     monkeypatch.setattr(io, "SMALL_INPUT_BYTES", 1)
     assert io.spread(df) is df
     assert io.gather(df, df) is df
+
+
+def test_rows_that_take_long_are_dealt_out_by_size(spark, tmp_path, monkeypatch):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    cores = spark.sparkContext.defaultParallelism
+    assert io.deal(table).rdd.getNumPartitions() == cores
+    # a table beyond this size was left in its splits
+    monkeypatch.setattr(io, "plan_bytes", lambda df: 1024 * 1024 * 1024)
+    assert io.deal(table).rdd.getNumPartitions() == max(65, cores)
+    assert io.deal(table).count() == 1000
