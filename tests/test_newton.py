@@ -62,6 +62,35 @@ def test_product_is_that_of_the_symmetric_hessian():
     assert ha @ a.ravel() > 0
 
 
+def test_blocks_are_those_of_the_hessian(monkeypatch):
+    monkeypatch.setattr(newton, "ROWS_AT_ONCE", 16)
+    rows = newton.Rows(batch(drawn(40)))
+    draw = np.random.default_rng(2)
+    x, a = (draw.normal(size=(CLASSES, FEATURES + 1)) for _ in range(2))
+    blocks = newton.hessian(rows, x).reshape(-1, FEATURES + 1, FEATURES + 1)
+    found = np.zeros_like(x)
+    for block, (c, d) in zip(blocks, newton._class_pairs(CLASSES)):
+        found[c] += block @ a[d]
+        if c != d:
+            found[d] += block.T @ a[c]
+    assert np.abs(found.ravel() - newton.hessian_product(rows, x, a)).max() < 1e-12
+
+
+def test_few_features_take_few_passes(spark, monkeypatch):
+    # little penalty and correlated features: conjugate gradients take many steps
+    rows = [(list(range(FEATURES)), [1.0 + 0.01 * v for v in range(FEATURES)], c, w) for _, _, c, w in drawn(200)]
+    rows += drawn(200, seed=5)
+    table = spark.createDataFrame(rows, "idx array<int>, w array<double>, label int, weight double").repartition(9)
+    passes, added = [], newton._added
+    monkeypatch.setattr(newton, "_added", lambda *a: passes.append(1) or added(*a))
+    few = newton.fit(table, CLASSES, FEATURES, 1e-4)
+    n = len(passes)
+    monkeypatch.setattr(newton, "MAX_HESSIAN", 0)
+    many = newton.fit(table, CLASSES, FEATURES, 1e-4)
+    assert n <= 24 and n < (len(passes) - n) / 2
+    assert np.abs(few - many).max() < 1e-4
+
+
 @pytest.mark.parametrize("flat", [64, 2])  # sums of tasks added by the driver, or in groups before
 def test_fit_ends_where_the_gradient_is_nothing(spark, monkeypatch, flat):
     monkeypatch.setattr(newton, "FLAT", flat)

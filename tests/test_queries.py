@@ -46,3 +46,8 @@ def test_regression_beats_the_majority(spark):
 
 def test_entry_gives_rows(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_scores_of_the_distribution_are_made_once(spark):
+    plan = QUERIES["lr_distribution"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
