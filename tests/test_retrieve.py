@@ -199,3 +199,24 @@ def test_nulls_in_a_question_are_told_apart(spark):
     ]
     assert got[0] == got[1]
     assert got[0][2] == got[0][4] == got[0][5] == got[0][6] == [] and 55 not in got[0][3] and got[0][1]
+
+
+def test_pairs_of_a_term_are_added_up_where_they_meet(spark):
+    index = ReplyIndex.build(_replies(spark, _texts(30, 2)), max_broadcast=0)
+    asked = spark.createDataFrame(list(enumerate(_texts(20, 3))), "id long, t string")
+    plan = add_exemplars(asked, "t", index, 3)._jdf.queryExecution().optimizedPlan().toString()
+    # messages meet their answers; questions and postings were joined to rows for each pair before
+    assert plan.count("Join ") == 1 and "kb_weight" not in plan
+
+
+def test_slices_and_skipped_terms_change_nothing(spark, monkeypatch):
+    kb = [f"rare{i % 40} word{i % 7} the is my" for i in range(300)] + ["the", "is"]
+    asked = spark.createDataFrame([(i, f"rare{i} rare{i + 1} the is my") for i in range(41)] * 2, "id long, t string")
+    whole, cut = (ReplyIndex.build(_replies(spark, kb), max_broadcast=limit) for limit in (10**9, 0))
+    monkeypatch.setattr(retrieve, "QUESTIONS_PER_SLICE", 10)
+    monkeypatch.setattr(retrieve, "POSTINGS_PER_PIECE", 500)
+    rows = [
+        sorted((r.id, [(e.kb_id, round(e.score, 9)) for e in r.exemplars]) for r in add_exemplars(asked, "t", index, 2).collect())
+        for index in (whole, cut)
+    ]
+    assert rows[0] == rows[1] and len(rows[0]) == 82
