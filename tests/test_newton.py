@@ -119,3 +119,12 @@ def test_one_class_or_one_row(spark):
     assert one.classes == ("x",)
     frame = spark.createDataFrame([(2, "other words")], "id long, t string")
     assert one.probabilities(frame, "t", ("x", "y"), "p").first().p == [1.0, 0.0]
+
+
+def test_rows_without_a_feature_are_the_intercept():
+    rows = [([], [], 0, 1.0), ([2, 5], [0.5, 2.0], 1, 1.0), ([], [], 2, 1.0), ([], [], 1, 1.0), ([0], [3.0], 1, 1.0), ([], [], 0, 1.0)]
+    matrix = np.random.default_rng(4).normal(size=(CLASSES, FEATURES + 1))
+    expected = [[line[-1] + sum(line[i] * v for i, v in zip(idx, w)) for line in matrix] for idx, w, _, _ in rows]
+    for some in (rows, rows[:1], rows[2:4], rows[1:2]):
+        found = newton.Rows(batch(some)).times(matrix)
+        assert np.abs(found - [expected[rows.index(r)] for r in some]).max() < 1e-12
