@@ -220,3 +220,14 @@ def test_slices_and_skipped_terms_change_nothing(spark, monkeypatch):
         for index in (whole, cut)
     ]
     assert rows[0] == rows[1] and len(rows[0]) == 82
+
+
+def test_a_task_joins_one_slice_with_one_block(spark, monkeypatch):
+    # dealt by a hash, several pairs met in one task, and small ones were put together
+    index = ReplyIndex.build(_replies(spark, _texts(60, 2)), max_broadcast=0)
+    asked = spark.createDataFrame(list(enumerate(_texts(50, 3))), "id long, t string")
+    monkeypatch.setattr(retrieve, "QUESTIONS_PER_SLICE", 10)
+    monkeypatch.setattr(retrieve, "POSTINGS_PER_PIECE", -(-index.postings // 3))
+    plan = add_exemplars(asked, "t", index, 3)._jdf.queryExecution().executedPlan().toString()
+    cells = re.findall(r"Exchange shufflepartitionidpassthrough\(.*?, (\d+)\), REPARTITION_BY_NUM", plan)
+    assert cells == ["18", "18"] and plan.count("hashpartitioning(cell") == 0
