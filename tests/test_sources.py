@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from relaydesk.packs.support import SUPPORT
+from relaydesk.plans import queries
 from relaydesk.plans.triage import System, triage
 from relaydesk.session import fresh_dir, shared_dir
 from relaydesk.sources import tables as io
@@ -136,3 +137,13 @@ def test_rows_that_take_long_are_dealt_out_by_size(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(io, "plan_bytes", lambda df: 1024 * 1024 * 1024)
     assert io.deal(table).rdd.getNumPartitions() == max(65, cores)
     assert io.deal(table).count() == 1000
+
+
+def test_documents_of_a_large_table_are_dealt_out(spark, tmp_path, monkeypatch):
+    # one row group, which no number of splits divides; beyond this size it was one task
+    spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(io, "SMALL_INPUT_BYTES", 1)
+    monkeypatch.setattr(io, "plan_bytes", lambda df: 1024 * 1024 * 1024)
+    docs = queries.documents(spark, str(tmp_path), "doc_id", "text")
+    assert docs.rdd.getNumPartitions() == 65 and docs.count() == 1000
+    assert queries.messages(spark, str(tmp_path)).rdd.getNumPartitions() == 257
