@@ -100,6 +100,41 @@ def test_index_finds_what_brute_force_finds():
         assert index.linked(query).tolist() in ([expected] if len(expected) > 1 else [[], [i]])
 
 
+def test_signatures_never_part_linked_sets():
+    draw = np.random.default_rng(3)
+    for n in (1, 5, 40, 300, 2000):
+        base = ngram_join._mix(draw.integers(1, 2**63, n).astype(np.uint64))
+        sets = [np.unique(np.append(base[draw.random(n) > k / 40], draw.integers(1, 2**63, n * k // 80 + 1).astype(np.uint64))) for k in range(12)]
+        sizes = np.array([len(s) for s in sets])
+        marks = ngram_join._folded([ngram_join.signature(s).tobytes() for s in sets])
+        told = 0
+        for i, query in enumerate(sets):
+            near = ngram_join._plausible(75, marks[i], marks, sizes[i], sizes)
+            linked = np.array([100 * len(np.intersect1d(query, s)) >= 75 * len(np.union1d(query, s)) for s in sets])
+            assert near[linked].all()
+            told += (~near).sum()
+        assert told > 0 or n < 40
+
+
+def test_whole_sets_go_only_where_they_may_be_linked(spark, monkeypatch):
+    sent, with_sets = [], ngram_join._with_sets
+
+    def counted(groups, sets):
+        if "set" in sets.columns:
+            sent.append(groups.count())
+        return with_sets(groups, sets)
+
+    monkeypatch.setattr(ngram_join, "_with_sets", counted)
+    draw = random.Random(5)
+    base = [f"word{i}" for i in range(200)]
+    texts = [" ".join(f"own{k}x{i}" if i in own else w for i, w in enumerate(base)) for k in range(12) for own in [draw.sample(range(200), 8)]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    sets = [shingles(t) for t in texts]
+    assert all(100 * len(a & b) < 75 * len(a | b) for a in sets for b in sets if a is not b)
+    assert all(r.doc_id == r.component_id for r in ngram_join.near_classes(docs).collect())
+    assert sum(sent) <= 2
+
+
 LINE_TEXTS = [
     None, "", "\n\n", "one line only", " one line only\r", "In.\nIn.\nkeep this", "In.",
     "\n".join(f"sentence number {i} stands in this document as it does in no other" for i in range(30)),
