@@ -261,6 +261,33 @@ def test_query_compares_every_character(spark, tmp_path):
     assert {r.doc_id: r.n_dropped for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()} == {0: 0, 1: 1, 2: 0}
 
 
+def test_only_keys_that_may_be_shared_are_shuffled_again(spark, monkeypatch):
+    sent, meet_counted = [], common.meet_counted
+
+    def counted(rows, *more):
+        sent.append(rows.count())
+        return meet_counted(rows, *more)
+
+    monkeypatch.setattr(line_dedup, "meet_counted", counted)
+    draw = random.Random(6)
+    lines = [" ".join(str(draw.getrandbits(40)) for _ in range(12)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*lines, lines[0] + "1"])], "doc_id long, text string")
+    out = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(docs, characters=5).collect()}
+    assert out[60] == 1 and sum(out.values()) == 1
+    assert len(sent) == 1 and sent[0] <= 60  # of 25 keys a line
+
+
+@pytest.mark.parametrize("broadcast", [400_000, 0])
+def test_crowded_keys_are_dealt_out(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(common, "CROWDED", 10)
+    rows = spark.createDataFrame([(1 if i < 50 else i, i) for i in range(60)], "k long, v long")
+    dim = spark.createDataFrame([(1, "a", 50), (55, "b", 1), (77, "c", 90)], "k long, w string, _times long")
+    out = common.meet_counted(rows, dim, "k", common.F.col("v"), "_times")
+    assert out.columns == ["k", "v", "w"]
+    assert sorted(map(tuple, out.collect())) == [(1, i, "a") for i in range(50)] + [(55, 55, "b")]
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a line\nb"), (7, "a line"), (7, "a line"), (8, "a line")], "doc_id long, text string")
     out = sorted(((r.doc_id, r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()), key=str)
