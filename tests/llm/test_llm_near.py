@@ -252,6 +252,45 @@ def test_line_dedup_by_every_character(spark, words):
     assert kept == exact
 
 
+def test_keys_are_counted_in_slices_and_tables_go(spark, monkeypatch, tmp_path):
+    """Only what the result still reads stays in the shared folder."""
+    monkeypatch.setattr(line_dedup, "SLICED", 10)
+    made = []
+    monkeypatch.setattr(common, "fresh_dir", lambda _, name: made.append(name) or f"{tmp_path}/{name}-{len(made)}")
+    k = line_dedup.CHARACTERS
+    cut = lambda text: {text[i : i + k] for i in range(max(1, len(text) - k + 1))}
+    kept, exact = kept_and_exact(spark, short_lines(8, 5, 30), cut, characters=k)
+    assert kept == exact
+    assert made.count("shared") == line_dedup.SLICES
+    large = {"lines", "shared", "members", "contents", "groups", "placed"}
+    assert not large & {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+
+
+def test_signatures_lose_no_link():
+    draw = random.Random(4)
+    sets = []
+    for n in (1, 2, 7, 40, 300, 3000):
+        base = [draw.getrandbits(64) for _ in range(n)]
+        for share in (0.0, 0.05, 0.13, 0.15, 0.3):
+            own = [draw.getrandbits(64) if draw.random() < share else h for h in base]
+            sets.append(np.array([*own, own[0]], np.uint64))
+    made, others = line_dedup.Sets(sets), np.arange(len(sets))
+    for i, s in enumerate(sets):
+        exact = [j for j, t in enumerate(sets) if 100 * len({*s} & {*t}) >= 75 * len({*s} | {*t})]
+        assert made.linked(i, others, 75.0).tolist() == exact
+
+
+def test_only_keys_of_many_rows_are_repeated(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    made, write = [], common.written
+    monkeypatch.setattr(common, "written", lambda df, name: made.append(write(df, name)) or made[-1])
+    rows = spark.createDataFrame([(1 if i < 50 else i, i) for i in range(60)] + [(None, 60)], "k long, v long")
+    dim = spark.createDataFrame([(1, "a"), (55, "b"), (77, "c"), (None, "d")], "k long, w string")
+    out = common.spread_join(rows, dim, "k", common.F.col("v"), per_task=10)
+    assert sorted((r.k, r.v, r.w) for r in out.collect()) == [(1, i, "a") for i in range(50)] + [(55, 55, "b")]
+    assert [r.k for r in made[0].collect()] == [1]
+
+
 def test_query_compares_every_character(spark, tmp_path):
     from relaydesk.llm import queries
 
