@@ -262,7 +262,7 @@ def test_keys_are_counted_in_slices_and_tables_go(spark, monkeypatch, tmp_path):
     kept, exact = kept_and_exact(spark, short_lines(8, 5, 30), cut, characters=k)
     assert kept == exact
     assert made.count("shared") == line_dedup.SLICES
-    large = {"lines", "shared", "members", "contents", "groups", "placed"}
+    large = {"keyed", "lines", "shared", "members", "contents", "groups", "placed"}
     assert not large & {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
 
 
