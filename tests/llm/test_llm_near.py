@@ -327,6 +327,26 @@ def test_crowded_keys_are_dealt_out(spark, monkeypatch, broadcast):
     assert sorted(map(tuple, out.collect())) == [(1, i, "a") for i in range(50)] + [(55, 55, "b")]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_what_only_seems_small_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    rows = spark.range(40).selectExpr("id % 7 AS k", "id AS v")
+    dim = common.written(spark.range(5).selectExpr("id AS k", "id + 1 AS w", "3 AS _times"), "dim")
+    spread = common.F.col("v")
+    # what is counted, the crowded keys, may be broadcast
+    for made, counted in (
+        (common.salted(rows, dim, "k", spread), 0),
+        (common.meet(rows, dim, "k", spread), 0),
+        (common.meet_counted(rows, dim, "k", spread, "_times"), 1),
+        (common.spread_join(rows, dim, "k", spread), 2),
+    ):
+        assert plan(made).count("BroadcastHashJoin") == counted
+        assert sorted((r.v, r.w) for r in made.where("w is not null").collect()) == [(i, i % 7 + 1) for i in range(40) if i % 7 < 5]
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a line\nb"), (7, "a line"), (7, "a line"), (8, "a line")], "doc_id long, text string")
     out = sorted(((r.doc_id, r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()), key=str)
