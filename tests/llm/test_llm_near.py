@@ -347,6 +347,19 @@ def test_what_only_seems_small_is_not_broadcast(spark, monkeypatch):
         assert sorted((r.v, r.w) for r in made.where("w is not null").collect()) == [(i, i % 7 + 1) for i in range(40) if i % 7 < 5]
 
 
+def test_wanted_lines_and_judged_rows_are_shuffled(spark, monkeypatch):
+    plans, write = {}, line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: plans.setdefault(name, plan(df)) and write(df, name))
+    docs = spark.createDataFrame([(1, "a line of text\nother"), (2, "a line of text")], "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs, characters=5)
+    assert sorted((r.doc_id, r.n_dropped) for r in out.collect()) == [(1, 0), (2, 1)]
+    near = spark.createDataFrame([(1, "one line of some text"), (2, "one line of some texts")], "doc_id long, text string")
+    assert sum(r.n_dropped for r in line_dedup.dedup_lines(near, characters=5).collect()) == 1
+    # first places are counted before they are broadcast
+    for told, counted in ((plans["contents"], 0), (plans["dropped"], 1), (plan(out), 0)):
+        assert told.count("BroadcastHashJoin") == counted
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a line\nb"), (7, "a line"), (7, "a line"), (8, "a line")], "doc_id long, text string")
     out = sorted(((r.doc_id, r.text, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()), key=str)
