@@ -347,6 +347,13 @@ def test_what_only_seems_small_is_not_broadcast(spark, monkeypatch):
         assert sorted((r.v, r.w) for r in made.where("w is not null").collect()) == [(i, i % 7 + 1) for i in range(40) if i % 7 < 5]
 
 
+def test_components_are_sent_once(spark):
+    docs = spark.createDataFrame([(i, f"some words that make a line of text {i // 2}") for i in range(8)], "doc_id long, text string")
+    near = ngram_join.near_classes(docs)
+    assert "explode" not in plan(near)
+    assert sorted((r.doc_id, r.component_id) for r in near.collect()) == [(i, i - i % 2) for i in range(8)]
+
+
 def test_wanted_lines_and_judged_rows_are_shuffled(spark, monkeypatch):
     plans, write = {}, line_dedup.written
     monkeypatch.setattr(line_dedup, "written", lambda df, name: plans.setdefault(name, plan(df)) and write(df, name))
