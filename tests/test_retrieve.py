@@ -231,3 +231,49 @@ def test_a_task_joins_one_slice_with_one_block(spark, monkeypatch):
     plan = add_exemplars(asked, "t", index, 3)._jdf.queryExecution().executedPlan().toString()
     cells = re.findall(r"Exchange shufflepartitionidpassthrough\(.*?, (\d+)\), REPARTITION_BY_NUM", plan)
     assert cells == ["18", "18"] and plan.count("hashpartitioning(cell") == 0
+
+
+def _unit_rows(draw, rows, terms, most):
+    """Sorted term positions and unit weights; low positions are common."""
+    out = []
+    for _ in range(rows):
+        idx = np.unique((terms * draw.random(draw.integers(1, most)) ** 3).astype(np.int64))
+        w = draw.random(len(idx)) + 0.01
+        out.append((idx, w / np.sqrt((w * w).sum())))
+    return out
+
+
+@pytest.mark.parametrize("cells", [1 << 23, 5000])
+@pytest.mark.parametrize("k", [1, 3])
+def test_messages_that_touch_many_replies_are_scored_together(k, cells, monkeypatch):
+    monkeypatch.setattr(retrieve, "CELLS", cells)
+    draw = np.random.default_rng(k)
+    replies = _unit_rows(draw, 700, 80, 12)
+    replies += replies[:60]  # ties
+    ids = np.sort(draw.choice(10_000, len(replies), replace=False)) + 2**61
+    terms = np.concatenate([i for i, _ in replies])
+    order = np.argsort(terms, kind="stable")
+    start = np.searchsorted(terms[order], np.arange(81))
+    place = np.repeat(np.arange(len(replies)), [len(i) for i, _ in replies])[order]
+    weight = np.concatenate([w for _, w in replies])[order]
+    asked = [*_unit_rows(draw, 150, 80, 40), *replies[:20], (np.zeros(0, np.int64), np.zeros(0))]
+    own = [None if i % 2 else str(ids[(i * 7) % len(ids)]) for i in range(len(asked))]
+    alone, one = [], lambda i, x, o: retrieve._best(i, x, o, ids, start, place, weight, k)
+    sums = retrieve._Sums(ids, start, place, weight)
+    got = sums.best([i for i, _ in asked], [w for _, w in asked], own, k, lambda *m: alone.append(m) or one(*m))
+    assert 0 < len(alone) < 100
+    for (i, w), o, (found, scores) in zip(asked, own, got):
+        expected = one(i, w, o)
+        assert found == expected[0]
+        assert scores == pytest.approx(expected[1], abs=1e-12)
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_long_messages_find_what_they_find_alone(spark, limit, monkeypatch):
+    kb = _texts(400, 11, 12)
+    index = ReplyIndex.build(_replies(spark, kb), max_broadcast=limit)
+    asked = spark.createDataFrame(list(enumerate([*_texts(30, 12, 60), *kb[:30], "", "qq"])), "id long, t string")
+    found = lambda: {r.id: [(e.kb_id, round(e.score, 9)) for e in r.exemplars] for r in add_exemplars(asked, "t", index, 3, own="id").collect()}
+    many = found()
+    monkeypatch.setattr(retrieve, "TOGETHER", 0)  # none
+    assert many == found() and sum(map(len, many.values())) > 150
