@@ -62,7 +62,7 @@ def test_first_rows_of_groups_are_sent_once(spark, monkeypatch):
     plans, write = {}, pipeline.written
     note = lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name)
     monkeypatch.setattr(pipeline, "written", note)
-    rows = [(i, f"an ordinary text of a few words that two rows share {i // 2}") for i in range(8)]
+    rows = [(i, " ".join(f"word{i // 2}{j}" for j in range(9))) for i in range(8)]
     out = pipeline.ngram_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER)
     assert sorted(r.doc_id for r in out.collect()) == [0, 2, 4, 6]
     assert "explode" not in plans["marks"]
